@@ -18,8 +18,8 @@ def clean_amount(
     as ``1.234.5``, gives NULL and shows up in :func:`amount_rejects`.
     """
     col = F.col(amount) if isinstance(amount, str) else amount
-    stray = r"[^0-9.\-]" if keep_sign else "[^0-9.]"
-    kept = F.regexp_replace(F.translate(col.cast("string"), ",", "."), stray, "")
+    stray = r"[^0-9.\-]+" if keep_sign else "[^0-9.]+"
+    kept = F.regexp_replace(F.replace(col.cast("string"), F.lit(","), F.lit(".")), stray, "")
     filled = F.coalesce(F.nullif(kept, F.lit("")), F.lit("0"))
     return filled.try_cast(f"decimal({precision},{scale})")
 

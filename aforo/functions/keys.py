@@ -16,7 +16,15 @@ def _col(c: Column | str) -> Column:
 
 def integer_text(c: Column | str) -> Column:
     """Text of an integer that may have been stored as ``123.0``."""
-    return F.regexp_replace(F.trim(_col(c).cast("string")), r"\.0+$", "")
+    text = F.trim(_col(c).cast("string"))
+    stored_as_float = text.endswith("0") & text.contains(".")
+    return F.when(stored_as_float, F.regexp_replace(text, r"\.0+$", "")).otherwise(text)
+
+
+def whole_number(c: Column | str) -> Column:
+    """Number or numeric text to bigint, decimals cut off; NULL for other text."""
+    col = _col(c)
+    return F.coalesce(col.try_cast("bigint"), col.try_cast("double").try_cast("bigint"))
 
 
 def parse_ddmmyyyy(c: Column | str, first_eight: bool = False, strict: bool = False) -> Column:
@@ -25,13 +33,23 @@ def parse_ddmmyyyy(c: Column | str, first_eight: bool = False, strict: bool = Fa
     ``first_eight`` looks at the first eight characters only. A value that is no date gives NULL,
     or fails the job with ``strict``.
     """
-    digits = integer_text(c)
+    number = whole_number(c)
     if first_eight:
-        digits = F.substring(digits, 1, 8)
-    # lpad would cut longer text down to 8 characters and so make a date of it.
-    digits = F.when(F.length(digits) <= 8, F.lpad(digits, 8, "0")).otherwise(digits)
-    parse = F.to_date if strict else F.try_to_date
-    return parse(digits, "ddMMyyyy")
+        number = F.substring(number.cast("string"), 1, 8).try_cast("bigint")
+    # Taken apart as a number: much cheaper per row than a pattern on padded text.
+    day, month, year = (
+        F.try_divide(number - number % scale, F.lit(scale)).cast("int") % size
+        for scale, size in ((1_000_000, 1_000_000), (10_000, 100), (1, 10_000))
+    )
+    zero = F.lit(0)
+    date = F.when(
+        number.between(1_010_001, 31_129_999) & (year > 0),
+        F.try_make_timestamp_ntz(year, month, day, zero, zero, zero).cast("date"),
+    )
+    if strict:
+        failed = F.raise_error(F.concat(F.lit("no date: "), _col(c).cast("string")))
+        date = F.when(_col(c).isNotNull() & date.isNull(), failed.cast("date")).otherwise(date)
+    return date
 
 
 def period_id(date: Column | str) -> Column:

@@ -95,12 +95,11 @@ EXPORTS = TradeSpec(
 def derive_keys(landed: DataFrame, spec: TradeSpec) -> DataFrame:
     """Landed text to the fact table: ``fecha``, ``period_id``, ``reference_id`` and filled codes.
 
-    Rows without a date key are dropped; rows whose key is no date are kept apart by
+    Rows without a date key or with one that is no date are dropped; the latter can be had from
     :func:`undated_rejects`.
     """
-    df = keys.drop_undated(landed, spec.date_key)
-    df = df.withColumn("fecha", keys.parse_ddmmyyyy(spec.date_key, spec.date_first_eight))
-    df = df.filter(F.col("fecha").isNotNull()).withColumns(
+    df = landed.withColumn("fecha", keys.parse_ddmmyyyy(spec.date_key, spec.date_first_eight))
+    df = keys.drop_undated(df, "fecha").withColumns(
         {
             "period_id": keys.period_id("fecha"),
             "reference_id": keys.reference_id(spec.document, spec.item),
@@ -144,14 +143,15 @@ def exports_raw(exports: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
 def trade_view(raw: DataFrame, spec: TradeSpec, min_quantity: float = fx.MIN_QUANTITY) -> DataFrame:
     """Classified products without the excluded ones, with trade type and sub-type.
 
-    The exclusions only look at the row, so they run before the distinct of the classification
-    and less is shuffled.
+    The exclusions are stated after the classification. They only look at columns of the row, so
+    Catalyst moves them below its distinct and behind its filter: the class test, which leaves few
+    rows, comes first, and only what passes everything is shuffled.
     """
     tariff = keys.normalize_tariff(spec.tariff)
     listed = [c.zfill(8) for c in spec.excluded_tariffs]
-    df = raw.filter(F.col(spec.quantity) > F.lit(min_quantity))
+    df = classify(raw, spec.classes, tariff, spec.product, "TIPO")
     df = text.exclude_codes(text.exclude_keywords(df, spec.excluded_words), tariff, listed)
-    df = classify(df, spec.classes, tariff, spec.product, "TIPO")
+    df = df.filter(F.col(spec.quantity) > F.lit(min_quantity))
     return df.withColumns(
         {
             "TRADE_TYPE": F.lit(spec.trade),

@@ -9,6 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+# Settings that can be changed in a running session.
+RUNTIME_SETTINGS = {
+    # A hot key is split even where the split costs one more exchange downstream.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM never compiles methods above 8000 bytes. Rows of 200 columns with a cleaning rule each
+    # make longer ones; below this limit Spark generates one small method per expression instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
 
 def build_session(app: str = "aforo", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the library is designed for.
@@ -23,16 +32,22 @@ def build_session(app: str = "aforo", master: str | None = None, **conf: str) ->
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        # A hot key is split even where the split costs one more exchange downstream.
-        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
+    settings.update(RUNTIME_SETTINGS)
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings to a session that was made elsewhere."""
+    for key, value in RUNTIME_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: the cluster's checkpoint setting.
 
@@ -59,3 +74,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread a scan that gives fewer tasks than there are cores, before work that is heavy per row.
+
+    A file of one row group is one task however many cores wait. A table with enough splits is left
+    as it is, so nothing is shuffled where there is much to shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -32,21 +32,28 @@ def read_trade(
     """
     return (
         spark.read.schema(text_schema(names))
-        .options(sep=SEPARATOR, header="false", mode="FAILFAST", escape='"')
+        # Without all columns parsed, a pruned scan would not notice a wrong number of fields.
+        .options(
+            sep=SEPARATOR, header="false", mode="FAILFAST", escape='"', columnPruning="false"
+        )
         .options(**options)
         .csv(paths if isinstance(paths, str) else list(paths))
     )
 
 
-def _open(path: str):
-    """A seekable stream on the archive, read in pieces from wherever it lives."""
+def file_system(path: str):
+    """(file system, path inside it) of a path as Spark writes it."""
     from pyarrow import fs
 
-    uri = "file://" + path if path.startswith("/") else path
-    if uri.startswith("file:/") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:") :]
-    uri = uri.replace("s3a://", "s3://", 1)
-    system, inner = fs.FileSystem.from_uri(uri)
+    uri = path.replace("s3a://", "s3://", 1)
+    if uri.startswith("file:"):
+        uri = uri[len("file:") :].replace("///", "/", 1)
+    return fs.FileSystem.from_uri(uri)
+
+
+def _open(path: str):
+    """A seekable stream on the archive, read in pieces from wherever it lives."""
+    system, inner = file_system(path)
     return system.open_input_file(inner)
 
 

@@ -118,7 +118,9 @@ def date_keys(spark, sf):
     """,
 )
 def date_key_first_eight(spark, sf):
-    stored = F.concat(F.date_format("o_orderdate", "ddMMyyyy"), F.lit("99"))
+    # A stored number has no leading zero, so only two-digit days can carry digits behind the year.
+    tail = F.when(F.day("o_orderdate") >= 10, F.lit("99")).otherwise(F.lit(""))
+    stored = F.concat(F.date_format("o_orderdate", "ddMMyyyy"), tail)
     return table(spark, sf, "orders").select(
         "o_orderkey", keys.parse_ddmmyyyy(stored, first_eight=True).alias("fecha")
     )

@@ -13,7 +13,7 @@ from aforo.operators.classify import ProductClass
 from aforo.operators.labels import Role
 from aforo.plans import price_series as prices
 from aforo.plans import reports
-from aforo.session import staged
+from aforo.session import spread_small, staged
 from workload.rates import CONVERTER_SQL, converter
 from workload.registry import query, rounded, table
 from workload.tables import with_unknown
@@ -45,7 +45,7 @@ EXPORTS = replace(
 
 def declarations(spark, sf):
     """Order lines with part and supplier, written the way declarations are: everything as text."""
-    lines = table(spark, sf, "lineitem").drop("l_linestatus")
+    lines = spread_small(table(spark, sf, "lineitem").drop("l_linestatus", "l_discount"))
     parts = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     suppliers = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
     joined = lines.join(parts, lines.l_partkey == parts.p_partkey).join(
@@ -63,7 +63,9 @@ def declarations(spark, sf):
         return F.translate(F.col(c).cast("string"), ".", ",")
 
     return joined.select(
-        F.date_format("l_shipdate", "ddMMyyyy").cast("int").alias("FECTRA"),
+        (F.day("l_shipdate") * 1000000 + F.month("l_shipdate") * 10000 + F.year("l_shipdate")).alias(
+            "FECTRA"
+        ),
         F.col("l_orderkey").cast("string").alias("NUMENCRIPTADO"),
         F.col("l_linenumber").cast("string").alias("NUMITEM"),
         F.col("l_partkey").alias("parte"),
