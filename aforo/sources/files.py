@@ -21,7 +21,7 @@ def file_name(path: Column | str = "path") -> Column:
 def file_year(name: Column | str = "file_name") -> Column:
     """Second ``_`` token of the file name without its extension."""
     col = F.col(name) if isinstance(name, str) else name
-    return F.regexp_extract(col, r"^[^_]*_([^_]*)", 1)
+    return F.regexp_extract(col, r"^[^_]*_([^_.]*)", 1)
 
 
 def trade_paths(
