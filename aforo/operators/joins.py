@@ -20,19 +20,21 @@ def fits_broadcast(
 ) -> bool:
     """True when the whole frame is within both bounds.
 
-    Reads at most ``max_rows + 1`` rows and brings back two numbers.
+    Counts first, which reads no column that no filter needs, and measures the columns of varying
+    width only where the count is within the bound. Each step adds up in the map tasks and brings
+    back one number.
     """
-    size = reduce(
-        lambda a, b: a + b,
-        [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(8)) for c in df.columns],
-    )
-    seen = (
-        df.select(size.cast("long").alias("size"))
-        .limit(max_rows + 1)
-        .agg(F.count("*").alias("rows"), F.sum("size").alias("bytes"))
-        .first()
-    )
-    return seen["rows"] <= max_rows and (seen["bytes"] or 0) <= max_bytes
+    if df.count() > max_rows:
+        return False
+    varying = [
+        F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0))
+        for f in df.schema.fields
+        if not isinstance(f.dataType, (T.NumericType, T.DateType, T.TimestampType, T.BooleanType))
+    ]
+    if not varying:
+        return True
+    size = df.agg(F.sum(reduce(lambda a, b: a + b, varying).cast("long")).alias("size")).first()
+    return (size["size"] or 0) <= max_bytes
 
 
 def row_salt(df: DataFrame, salts: int) -> Column:

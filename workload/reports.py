@@ -7,9 +7,10 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from aforo.fixed_values import ALL_COUNTRIES
-from aforo.functions import keys, text
+from aforo.functions import keys
 from aforo.operators import series
 from aforo.operators.classify import ProductClass
+from aforo.operators.joins import lookup_join
 from aforo.operators.labels import Role
 from aforo.plans import price_series as prices
 from aforo.plans import reports
@@ -292,11 +293,10 @@ GRID_SQL = """
 def sparse_series(spark, sf):
     """Monthly quantities of returned, much discounted lines: many months are missing."""
     lines = table(spark, sf, "lineitem").filter("l_returnflag = 'R' AND l_discount > 0.09")
-    suppliers = table(spark, sf, "supplier")
-    nations = table(spark, sf, "nation")
-    named = lines.join(suppliers, lines.l_suppkey == suppliers.s_suppkey).join(
-        F.broadcast(nations), F.col("s_nationkey") == nations.n_nationkey
-    )
+    suppliers = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
+    nations = table(spark, sf, "nation").select("n_nationkey", "n_name")
+    placed = lines.join(suppliers, lines.l_suppkey == suppliers.s_suppkey)
+    named = lookup_join(placed, nations, [("s_nationkey", "n_nationkey")], "inner")
     rows = named.select(
         keys.month_start("l_shipdate").alias("fecha_month"),
         F.col("n_name").alias("pais_nombre_origen"),
@@ -349,21 +349,19 @@ def country_filter(spark, sf):
     """,
 )
 def chart_feed(spark, sf):
-    lines = table(spark, sf, "lineitem").select(
-        "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice"
+    whole = F.round("l_extendedprice")
+    month = keys.month_start("l_shipdate")
+    # Added up per supplier and month first, so the join sees few rows of a busy supplier.
+    per_supplier = table(spark, sf, "lineitem").groupBy("l_suppkey", month.alias("fecha_month")).agg(
+        F.sum("l_quantity").alias("q"), F.max(whole).alias("p"), F.min(whole).alias("c")
     )
     suppliers = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
     nations = table(spark, sf, "nation").select("n_nationkey", "n_name")
-    named = lines.join(suppliers, lines.l_suppkey == suppliers.s_suppkey).join(
-        F.broadcast(nations), F.col("s_nationkey") == nations.n_nationkey
-    )
-    whole = F.round("l_extendedprice")
-    monthly = named.groupBy(
-        keys.month_start("l_shipdate").alias("fecha_month"),
-        F.col("n_name").alias("pais_nombre_origen"),
-    ).agg(
-        F.sum("l_quantity").alias("cantidad_quintal"),
-        F.max(whole).alias("precio_fob_usd_quintal"),
-        F.min(whole).alias("precio_cif_usd_quintal"),
+    placed = per_supplier.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+    named = lookup_join(placed, nations, [("s_nationkey", "n_nationkey")], "inner")
+    monthly = named.groupBy("fecha_month", F.col("n_name").alias("pais_nombre_origen")).agg(
+        F.sum("q").alias("cantidad_quintal"),
+        F.max("p").alias("precio_fob_usd_quintal"),
+        F.min("c").alias("precio_cif_usd_quintal"),
     )
     return series.chart_feed(monthly, all_label="NATION_3")

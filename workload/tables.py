@@ -9,7 +9,7 @@ from aforo.functions import keys, text
 from aforo.operators import catalogue, events, ledger, relational, series
 from aforo.operators.classify import ProductClass, classify
 from aforo.operators.labels import Role, label_codes
-from workload.registry import query, rounded, table
+from workload.registry import query, table
 
 # ---------------------------------------------------------------- labels and classes
 
@@ -49,28 +49,28 @@ def multi_role_labels(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     suppliers = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
-    consignor = F.when(F.col("s_nationkey") == 5, F.lit(99)).otherwise(F.col("s_nationkey"))
-    facts = (
-        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-        .join(customers, F.col("o_custkey") == customers.c_custkey)
-        .join(suppliers, lines.l_suppkey == suppliers.s_suppkey)
-        .select(
-            F.nullif("c_nationkey", F.lit(3)).alias("origin"),
-            consignor.alias("consignor"),
-            "l_quantity",
-        )
+    totals = [F.sum("rows").alias("rows"), F.sum("quantity").alias("quantity")]
+    origins = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
+        "o_orderkey", F.nullif("c_nationkey", F.lit(3)).alias("origin")
+    )
+    # Lines are added up before each further join: a supplier with many lines is then few rows, and
+    # labels, which only depend on the codes, are looked up once per pair of codes.
+    per_supplier = (
+        lines.join(origins, F.col("l_orderkey") == F.col("o_orderkey"))
+        .groupBy("origin", "l_suppkey")
+        .agg(F.count("*").alias("rows"), F.sum("l_quantity").alias("quantity"))
     )
-    # Labels only depend on the codes, so the facts are added up per code pair before labelling.
-    per_pair = facts.groupBy("origin", "consignor").agg(
-        F.count("*").alias("rows"), F.sum("l_quantity").alias("quantity")
+    consignor = F.when(F.col("s_nationkey") == 5, F.lit(99)).otherwise(F.col("s_nationkey"))
+    per_pair = (
+        per_supplier.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .groupBy("origin", consignor.alias("consignor"))
+        .agg(*totals)
     )
     roles = [
         Role("origin", "nation", "origin_name"), Role("consignor", "nation", "consignor_name")
     ]
     labelled = label_codes(per_pair, dimensions(spark, sf), roles)
-    return labelled.groupBy("origin_name", "consignor_name").agg(
-        F.sum("rows").alias("rows"), F.sum("quantity").alias("quantity")
-    )
+    return labelled.groupBy("origin_name", "consignor_name").agg(*totals)
 
 
 @query(
