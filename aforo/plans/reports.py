@@ -13,6 +13,7 @@ from aforo.functions import amounts, keys, text
 from aforo.operators.classify import ProductClass, classify
 from aforo.operators.labels import EXPORT_ROLES, IMPORT_ROLES, Role, label_codes
 from aforo.operators.rates import with_monthly_rates
+from aforo.operators.relational import enforce_types
 from aforo.sinks.tables import register_views
 
 PRODUCT_CLASSES = (
@@ -93,7 +94,7 @@ EXPORTS = TradeSpec(
 
 
 def derive_keys(landed: DataFrame, spec: TradeSpec) -> DataFrame:
-    """Landed text to the fact table: ``fecha``, ``period_id``, ``reference_id`` and filled codes.
+    """Landed text to the fact table: ``fecha``, ``period_id``, ``reference_id`` and integer codes.
 
     Rows without a date key or with one that is no date are dropped; the latter can be had from
     :func:`undated_rejects`.
@@ -105,7 +106,8 @@ def derive_keys(landed: DataFrame, spec: TradeSpec) -> DataFrame:
             "reference_id": keys.reference_id(spec.document, spec.item),
         }
     )
-    df = keys.fill_codes(df, spec.sentinels)
+    codes = {c: "int" for c in spec.code_columns if c not in spec.sentinels}
+    df = enforce_types(keys.fill_codes(df, spec.sentinels), codes)
     return keys.numeric_codes(df, spec.numeric_code) if spec.numeric_code else df
 
 

@@ -25,7 +25,6 @@ EXPORT_ROW = {
 
 def frame(spark, base, variants):
     data = [{**base, **v} for v in variants]
-    ddl = ", ".join(f"{k} {'int' if isinstance(v, int) else 'string'}" for k, v in base.items())
     ints = [k for k, v in base.items() if isinstance(v, int)]
     ddl = ", ".join(f"{k} {'int' if k in ints or k == 'PA_ADQ' else 'string'}" for k in base)
     return spark.createDataFrame([tuple(d[k] for k in base) for d in data], ddl)
@@ -127,7 +126,7 @@ def test_exports(spark):
     assert {r.NUMEROITEM for r in raw.collect()} == {"ok", "other money", "no attribute"}
     first = raw.filter("NUMEROITEM = 'other money'").first()
     # The real acceptance date and the record key are both there.
-    assert (first.FECHAACEPT, first.reference_id, first.period_id) == ("15032021", "88-other money", "2021-3")
+    assert (first.FECHAACEPT, first.reference_id, first.period_id) == (15032021, "88-other money", "2021-3")
     assert (first.MONEDA, first.PAISCIATRANSP, first.paisciatransp_nombre) == (900, 999, None)
     views = reports.register_report_views(imports_raw(spark, [{}]), raw, converter(spark))
     report = views["vw_exports_canola_report"]

@@ -25,6 +25,7 @@ CLASSES = (
 )
 IMPORTS = replace(
     reports.IMPORTS,
+    code_columns=("MONEDA", "PA_ORIG", "PA_ADQ", "VIA_TRAN", "MEDIDA"),
     amounts=("CIF_ITEM", "FOB", "CANT_MERC", "PRE_UNIT"),
     roles=(
         Role("PA_ORIG", "pais", "pais_nombre_origen"),
