@@ -36,7 +36,7 @@ def amount_rejects(df: DataFrame, columns: list[str], suffix: str = "_MOD") -> D
     )
 
 
-def unit_price(amount: Column | str, quantity: Column | str) -> Column:
+def unit_price_cif(amount: Column | str, quantity: Column | str) -> Column:
     """``amount / quantity``, NULL where the quantity is 0."""
     num = F.col(amount) if isinstance(amount, str) else amount
     den = F.col(quantity) if isinstance(quantity, str) else quantity

@@ -56,7 +56,7 @@ def starts_with_any(c: Column | str, prefixes: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [_col(c).startswith(p) for p in prefixes])
 
 
-def keyword_flag(c: Column | str, word: str, yes: str, no: str) -> Column:
+def oil_flag(c: Column | str, word: str, yes: str, no: str) -> Column:
     """``yes`` where the word occurs, else ``no`` (also for NULL text)."""
     return F.when(contains_any(c, [word]), F.lit(yes)).otherwise(F.lit(no))
 

@@ -25,7 +25,7 @@ class ProductClass:
         return by_code | by_name
 
 
-def product_tags(classes: Sequence[ProductClass], code: Column, product: Column) -> Column:
+def product_types(classes: Sequence[ProductClass], code: Column, product: Column) -> Column:
     """Array with the names of all classes a row belongs to."""
     hits = [F.when(c.matches(code, product), F.lit(c.name)) for c in classes]
     return F.array_compact(F.array(*hits))
@@ -45,4 +45,4 @@ def classify(
     name = F.col(product)
     any_class = reduce(lambda a, b: a | b, [c.matches(key, name) for c in classes])
     kept = df.filter(any_class).distinct()
-    return kept.withColumn(tag, F.explode(product_tags(classes, key, name)))
+    return kept.withColumn(tag, F.explode(product_types(classes, key, name)))

@@ -17,10 +17,10 @@ def with_trade(df: DataFrame, name: str, column: str = TRADE) -> DataFrame:
     return df.withColumn(column, F.lit(name))
 
 
-def ledger(tables: Mapping[str, DataFrame], period: str = PERIOD) -> DataFrame:
-    """Rows per trade table and period, trailing blanks of the period removed."""
+def incoming_ledger(tables: Mapping[str, DataFrame], period: str = PERIOD) -> DataFrame:
+    """Rows per trade table and period."""
     parts = [
-        df.groupBy(rstrip_ws(period).alias(PERIOD))
+        df.groupBy(F.col(period).alias(PERIOD))
         .agg(F.count("*").alias(COUNT))
         .select(F.lit(name).alias(TRADE), PERIOD, COUNT)
         for name, df in tables.items()
@@ -31,6 +31,15 @@ def ledger(tables: Mapping[str, DataFrame], period: str = PERIOD) -> DataFrame:
     return out
 
 
+def loaded_ledger(tables: Mapping[str, DataFrame], period: str = PERIOD) -> DataFrame:
+    """Like :func:`incoming_ledger`, with trailing blanks of the stored period removed.
+
+    Only the counted groups are trimmed, not every row.
+    """
+    counted = incoming_ledger(tables, period)
+    return counted.groupBy(TRADE, rstrip_ws(PERIOD).alias(PERIOD)).agg(F.sum(COUNT).alias(COUNT))
+
+
 def period_order(period: str = PERIOD) -> list[Column]:
     """Sort keys for the unpadded period text: year and month as numbers."""
     return [
@@ -73,7 +82,7 @@ def only_periods(
     Periods are the months of dates, which bounds the list by the calendar.
     """
     wanted = periods if trade is None else periods.filter(F.col(TRADE) == F.lit(trade))
-    on = [(rstrip_ws(period), PERIOD)]
+    on = [(period, PERIOD)]
     return lookup_join(facts, wanted.select(PERIOD).distinct(), on, "left_semi", small=True)
 
 

@@ -24,7 +24,7 @@ def daily_mean(df: DataFrame, code: str = CODE, day: str = DAY, value: str = CLP
     )
 
 
-def forward_fill(df: DataFrame, code: str = CODE, day: str = DAY, value: str = CLP) -> DataFrame:
+def ffill(df: DataFrame, code: str = CODE, day: str = DAY, value: str = CLP) -> DataFrame:
     """NULL takes the last value before it, by code in date order; leading NULLs stay.
 
     Expects one row per code and day, as :func:`daily_mean` gives. A window partition then holds at
@@ -48,7 +48,7 @@ def forecast_rates(
     """Append a daily NULL grid for every code, from the last date of the whole table on.
 
     ``horizon`` days if the last date is ``lag_days`` or more before ``as_of``, else
-    ``short_horizon``. The NULLs are meant to be filled by :func:`forward_fill`.
+    ``short_horizon``. The NULLs are meant to be filled by :func:`ffill`.
     """
     if as_of is None:
         as_of = F.current_date()
@@ -91,7 +91,7 @@ def currency_converter(
 ) -> DataFrame:
     """Raw rates to the daily converter table: forecast, daily mean, forward fill, cross rates."""
     daily = daily_mean(forecast_rates(raw, codes, as_of, **horizons))
-    return cross_rates(forward_fill(daily), codes)
+    return cross_rates(ffill(daily), codes)
 
 
 def monthly_rates(

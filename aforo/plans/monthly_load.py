@@ -9,7 +9,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aforo.operators.ledger import TRADE, compare_ledgers, ledger, load_plan, only_periods
+from aforo.operators.ledger import (
+    TRADE,
+    compare_ledgers,
+    incoming_ledger,
+    load_plan,
+    loaded_ledger,
+    only_periods,
+)
 from aforo.session import staged
 from aforo.sinks.tables import replace_periods
 
@@ -33,7 +40,7 @@ def incremental_load(
     list of periods is staged before any write, since the writes change what it is derived from.
     """
     tables = {t: _existing(spark, path, incoming[t]) for t, path in paths.items()}
-    compared = compare_ledgers(ledger(tables), ledger(incoming))
+    compared = compare_ledgers(loaded_ledger(tables), incoming_ledger(incoming))
     periods = staged(load_plan(compared), "load-plan")
     loaded = {}
     for trade, path in paths.items():

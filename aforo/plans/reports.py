@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -108,7 +108,7 @@ def derive_keys(landed: DataFrame, spec: TradeSpec) -> DataFrame:
     )
     codes = {c: "int" for c in spec.code_columns if c not in spec.sentinels}
     df = enforce_types(keys.fill_codes(df, spec.sentinels), codes)
-    return keys.numeric_codes(df, spec.numeric_code) if spec.numeric_code else df
+    return keys.numeric_aduana(df, spec.numeric_code) if spec.numeric_code else df
 
 
 def undated_rejects(landed: DataFrame, spec: TradeSpec) -> DataFrame:
@@ -133,7 +133,7 @@ def imports_raw(imports: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     return cleaned(imports, dims, IMPORTS).withColumns(
         {
             "PRE_UNIT_UOM": text.unit_label("moneda_nombre", "unidad_nombre"),
-            "PRE_UNIT_CIF": amounts.unit_price("CIF_ITEM_MOD", "CANT_MERC_MOD"),
+            "PRE_UNIT_CIF": amounts.unit_price_cif("CIF_ITEM_MOD", "CANT_MERC_MOD"),
         }
     )
 
@@ -157,7 +157,7 @@ def trade_view(raw: DataFrame, spec: TradeSpec, min_quantity: float = fx.MIN_QUA
     return df.withColumns(
         {
             "TRADE_TYPE": F.lit(spec.trade),
-            "TIPO2": text.keyword_flag(spec.product, fx.OIL_WORD, fx.OIL_TYPE, fx.OTHER_TYPE),
+            "TIPO2": text.oil_flag(spec.product, fx.OIL_WORD, fx.OIL_TYPE, fx.OTHER_TYPE),
         }
     )
 
@@ -197,6 +197,14 @@ def trade_report(view: DataFrame, converter: DataFrame, spec: TradeSpec) -> Data
     return df
 
 
+def imports_report(view: DataFrame, converter: DataFrame) -> DataFrame:
+    return trade_report(view, converter, IMPORTS)
+
+
+def exports_report(view: DataFrame, converter: DataFrame) -> DataFrame:
+    return trade_report(view, converter, EXPORTS)
+
+
 def report_views(
     imports_raw_table: DataFrame, exports_raw_table: DataFrame, converter: DataFrame
 ) -> dict[str, DataFrame]:
@@ -206,8 +214,8 @@ def report_views(
     return {
         "vw_imports_canola_trigo": imports_view,
         "vw_exports_canola_trigo": exports_view,
-        "vw_imports_canola_report": trade_report(imports_view, converter, IMPORTS),
-        "vw_exports_canola_report": trade_report(exports_view, converter, EXPORTS),
+        "vw_imports_canola_report": imports_report(imports_view, converter),
+        "vw_exports_canola_report": exports_report(exports_view, converter),
     }
 
 
@@ -215,8 +223,3 @@ def register_report_views(*tables: DataFrame) -> dict[str, DataFrame]:
     views = report_views(*tables)
     register_views(views)
     return views
-
-
-def with_columns(spec: TradeSpec, **changes) -> TradeSpec:
-    """A variant of a spec, for tables with other column names."""
-    return replace(spec, **changes)

@@ -34,7 +34,7 @@ def test_amount_rejects_counts_only_malformed(spark):
 def test_unit_price_by_zero_is_null(spark):
     df = spark.sql("SELECT CAST(10 AS DECIMAL(15,2)) a, CAST(0 AS DECIMAL(15,2)) z, "
                    "CAST(4 AS DECIMAL(15,2)) q")
-    row = df.select(amounts.unit_price("a", "z").alias("n"), amounts.unit_price("a", "q").alias("p"))
+    row = df.select(amounts.unit_price_cif("a", "z").alias("n"), amounts.unit_price_cif("a", "q").alias("p"))
     assert row.schema["p"].dataType.simpleString() == "decimal(33,18)"
     assert tuple(row.first()) == (None, Decimal("2.500000000000000000"))
 
@@ -97,7 +97,7 @@ def test_fill_codes_and_numeric_filter(spark):
     filled = keys.fill_codes(df, {"ADUANA": -1})
     assert [r[0] for r in filled.orderBy("k").collect()] == [5, -1, 2, None]
     # The missing code became -1, which is not written with digits only, so it goes too.
-    assert [r.k for r in keys.numeric_codes(filled, "ADUANA").orderBy("k").collect()] == ["1", "3"]
+    assert [r.k for r in keys.numeric_aduana(filled, "ADUANA").orderBy("k").collect()] == ["1", "3"]
 
 
 def test_normalize_tariff(spark):

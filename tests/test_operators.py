@@ -105,7 +105,7 @@ def test_forward_fill_stays_within_the_currency(spark):
         ("aud", "2021-01-01", 5.0), ("cad", "2021-01-01", None), ("cad", "2021-01-02", 6.0),
         ("cad", "2021-01-03", None),
     ])
-    got = {(r[0], str(r[1])): r[2] for r in rates.forward_fill(df).collect()}
+    got = {(r[0], str(r[1])): r[2] for r in rates.ffill(df).collect()}
     assert got[("cad", "2021-01-01")] is None
     assert got[("cad", "2021-01-03")] == 6.0
 
@@ -218,8 +218,8 @@ def period_rows(spark, counts):
 
 
 def test_ledger_cases(spark):
-    loaded = ledger.ledger({"imports": period_rows(spark, {"2021-1 ": 2, "2021-2": 3, "2020-12": 1})})
-    incoming = ledger.ledger(
+    loaded = ledger.loaded_ledger({"imports": period_rows(spark, {"2021-1 ": 2, "2021-2": 3, "2020-12": 1})})
+    incoming = ledger.incoming_ledger(
         {"imports": period_rows(spark, {"2021-1": 2, "2021-2": 5, "2021-10": 1})}
     )
     compared = ledger.compare_ledgers(loaded, incoming)

@@ -6,7 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from aforo.operators.ledger import ledger
+from aforo.operators.ledger import loaded_ledger
 from aforo.plans.monthly_load import incremental_load, refresh_reports_if
 from aforo.sinks import files as file_sinks
 from aforo.sinks import tables as table_sinks
@@ -180,7 +180,7 @@ def test_incremental_load(spark, tmp_path):
     assert not refresh_reports_if(again, lambda: rebuilt.append(1)) and rebuilt == []
     assert refresh_reports_if(result, lambda: rebuilt.append(1)) and rebuilt == [1]
     table = spark.read.parquet(paths["imports"])
-    assert rows(ledger({"imports": table})) == [
+    assert rows(loaded_ledger({"imports": table})) == [
         ("imports", "2020-12", 4), ("imports", "2021-1", 2), ("imports", "2021-10", 1),
         ("imports", "2021-2", 5),
     ]

@@ -175,7 +175,7 @@ def numeric_customs(spark, sf):
     line = F.col("l_linenumber")
     code = F.when(line == 2, F.lit("A2")).when(line != 3, line.cast("string"))
     df = keys.fill_codes(table(spark, sf, "lineitem").withColumn("aduana", code), {"aduana": -1})
-    return keys.numeric_codes(df, "aduana").groupBy("aduana").agg(F.count("*").alias("rows"))
+    return keys.numeric_aduana(df, "aduana").groupBy("aduana").agg(F.count("*").alias("rows"))
 
 
 @query(
@@ -222,7 +222,7 @@ def describe(spark, sf):
 )
 def unit_price(spark, sf):
     quantity = F.when(F.col("l_discount") == 0, F.lit(0.0)).otherwise(F.col("l_quantity"))
-    price = amounts.unit_price(
+    price = amounts.unit_price_cif(
         amounts.clean_amount(F.col("l_extendedprice").cast("string")),
         amounts.clean_amount(quantity.cast("string")),
     )
@@ -272,7 +272,7 @@ def seed_flag(spark, sf):
     """,
 )
 def oil_flag(spark, sf):
-    flag = text.keyword_flag(F.nullif("p_name", F.lit("red ring")), "RING", "aceite", "otro")
+    flag = text.oil_flag(F.nullif("p_name", F.lit("red ring")), "RING", "aceite", "otro")
     df = table(spark, sf, "part").select(flag.alias("tipo2"))
     return df.groupBy("tipo2").agg(F.count("*").alias("rows"))
 

@@ -80,7 +80,7 @@ def daily_rates(spark, sf):
     """,
 )
 def rate_fill(spark, sf):
-    return rounded(rates.forward_fill(rates.daily_mean(raw_rates(spark, sf))), 4, "to_clp")
+    return rounded(rates.ffill(rates.daily_mean(raw_rates(spark, sf))), 4, "to_clp")
 
 
 @query(
@@ -96,7 +96,7 @@ def rate_fill(spark, sf):
     """,
 )
 def cross_rates(spark, sf):
-    filled = rates.forward_fill(rates.daily_mean(raw_rates(spark, sf)))
+    filled = rates.ffill(rates.daily_mean(raw_rates(spark, sf)))
     out = rates.cross_rates(filled, ["usd", "eur"])
     return rounded(rounded(out, 4, "to_clp"), 6, "to_usd", "to_eur")
 

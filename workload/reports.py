@@ -141,7 +141,7 @@ def raw_table(spark, sf, spec):
     facts = reports.derive_keys(declarations(spark, sf), spec)
     raw = reports.cleaned(facts, dims(spark, sf), spec)
     return raw.withColumn(
-        "PRE_UNIT_CIF", reports.amounts.unit_price("CIF_ITEM_MOD", "CANT_MERC_MOD")
+        "PRE_UNIT_CIF", reports.amounts.unit_price_cif("CIF_ITEM_MOD", "CANT_MERC_MOD")
     )
 
 

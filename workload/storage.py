@@ -189,7 +189,7 @@ def appended_ledger(spark, sf):
     path = new_path(spark, "appended")
     table_sinks.append_table(orders, path, text_times=True)
     table_sinks.append_table(orders, path, text_times=True)
-    return ledger.ledger({"imports": spark.read.parquet(path)})
+    return ledger.loaded_ledger({"imports": spark.read.parquet(path)})
 
 
 @query(

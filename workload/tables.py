@@ -116,7 +116,7 @@ def classify_products(spark, sf):
         "p_name", F.nullif("p_type", F.lit("PROMO")).alias("p_type"), "p_brand", "p_size"
     )
     out = classify(df, CLASSES, "p_type", "p_name", "tipo")
-    return out.withColumn("tipo2", text.keyword_flag("p_name", "BOLT", OIL_TYPE, OTHER_TYPE))
+    return out.withColumn("tipo2", text.oil_flag("p_name", "BOLT", OIL_TYPE, OTHER_TYPE))
 
 
 # ---------------------------------------------------------------- ledgers and load selection
@@ -138,7 +138,7 @@ def by_period(df, day):
 def loaded_ledger(spark, sf):
     lines = by_period(table(spark, sf, "lineitem"), "l_shipdate")
     orders = by_period(table(spark, sf, "orders"), "o_orderdate")
-    return ledger.sorted_ledger(ledger.ledger({"imports": lines, "exports": orders}))
+    return ledger.sorted_ledger(ledger.loaded_ledger({"imports": lines, "exports": orders}))
 
 
 LOADED_SQL = """
@@ -160,7 +160,7 @@ def loaded_and_incoming(spark, sf):
 def compared(spark, sf):
     loaded, incoming = loaded_and_incoming(spark, sf)
     return ledger.compare_ledgers(
-        ledger.ledger({"imports": loaded}), ledger.ledger({"imports": incoming})
+        ledger.loaded_ledger({"imports": loaded}), ledger.incoming_ledger({"imports": incoming})
     )
 
 
