@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aforo.sources.files import sanitize_names
 
+# The archive readers travel with the tasks, so executors need no copy of this package.
+register_pickle_by_value(sys.modules[__name__])
+
 SEPARATOR = ";"
 BATCH = 4096
 CORRUPT = "__corrupt"

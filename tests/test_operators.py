@@ -349,3 +349,26 @@ def test_link_registration_latest_wins(spark):
     regs = spark.createDataFrame([(1, 10), (1, 11), (2, 12), (None, 13)], "reference_id int, entrance_id int")
     got = events.link_registration(vehicles, regs, "entrance_id").orderBy("reference_id").collect()
     assert [(r.reference_id, r.entrance_id) for r in got] == [(1, 11), (2, 12), (3, None)]
+
+
+def test_hot_key_is_split_when_the_lookup_is_large(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20kb",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20kb",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        fact = spark.range(0, 200_000, 1, 8).selectExpr(
+            "id", "CASE WHEN id % 3 = 0 THEN 7 ELSE id % 1000 END AS k"
+        )
+        lookup = spark.range(1000).selectExpr("id AS code", "concat('n', id) AS name")
+        got = lookup_join(fact, lookup, [("k", "code")], "left", small=False)
+        assert len(got.collect()) == 200_000
+        assert "SortMergeJoin(skew=true)" in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)

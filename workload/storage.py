@@ -45,14 +45,13 @@ def positional_header(spark, sf):
     return files.apply_manifest(landed, [*CUSTOMER_NAMES, " ", None])
 
 
-def _zip_writer(folder: str, stem: str):
+def _zip_writer(system, inner: str, stem: str):
     def write(batches):
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        inner = trade.file_system(folder)
         name = f"{stem}_{part}.zip"
-        with inner[0].open_output_stream(f"{inner[1]}/{name}") as out:
+        with system.open_output_stream(f"{inner}/{name}") as out:
             with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
                 with archive.open(f"Importaciones_{part}.txt", "w", force_zip64=True) as member:
                     for batch in batches:
@@ -68,11 +67,12 @@ def _zip_writer(folder: str, stem: str):
 def archive_scan(spark, sf):
     """S-03 and S-06: zip archives, one per task, found by name and read by member."""
     folder = new_path(spark, "archives")
-    trade.file_system(folder)[0].create_dir(trade.file_system(folder)[1])
+    system, inner = trade.file_system(folder)
+    system.create_dir(inner)
     lines = customer_columns(spark, sf).select(
         F.concat_ws(";", "c_custkey", "c_name", "c_nationkey", "c_mktsegment").alias("value")
     )
-    lines.mapInPandas(_zip_writer(folder, "import_2021"), "name string").write.format("noop").mode(
+    lines.mapInPandas(_zip_writer(system, inner, "import_2021"), "name string").write.format("noop").mode(
         "overwrite"
     ).save()
     found = files.latest_files(files.trade_paths(spark, folder))
