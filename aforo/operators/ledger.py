@@ -70,8 +70,14 @@ def periods_to_replace(compared: DataFrame) -> DataFrame:
 
 
 def load_plan(compared: DataFrame) -> DataFrame:
-    """New and incomplete periods together."""
-    return periods_to_load(compared).unionByName(periods_to_replace(compared))
+    """New and incomplete periods from one pass, with ``action`` load or replace."""
+    loaded, incoming = F.col(f"{COUNT}_loaded"), F.col(f"{COUNT}_incoming")
+    action = F.when(loaded.isNull(), F.lit("load")).when(loaded != incoming, F.lit("replace"))
+    return (
+        compared.withColumn("action", action)
+        .filter(F.col("action").isNotNull())
+        .select(TRADE, PERIOD, "action")
+    )
 
 
 def only_periods(
@@ -87,7 +93,7 @@ def only_periods(
 
 
 def keep_latest_year(df: DataFrame, year: Column | str) -> DataFrame:
-    """Rows of the greatest year of the whole frame, years compared as text."""
-    col = (F.col(year) if isinstance(year, str) else year).cast("string")
+    """Rows of the greatest year of the whole frame; years taken from file names are text."""
+    col = F.col(year) if isinstance(year, str) else year
     latest = df.agg(F.max(col).alias("latest")).scalar()
     return df.filter(col == latest)

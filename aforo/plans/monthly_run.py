@@ -49,8 +49,9 @@ class Layout:
 def landed_facts(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     """The latest year's declarations with keys.
 
-    A member of an archive can only be read from its start by one task, and the load looks at
-    the facts twice, so they are staged as Parquet once.
+    A member of an archive can only be read from its start by one task, so the parsed text is
+    staged as Parquet once. The ledger then reads the date key only, and filters on keys do not
+    parse the records again.
     """
     found = latest_files(trade_paths(spark, layout.archives, layout.sample))
     out = {}
@@ -60,7 +61,7 @@ def landed_facts(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     ):
         # A zip may hold both kinds; the member name decides.
         landed = read_trade_archives(spark, found, prefix, read_manifest(spark, names))
-        out[table] = staged(reports.derive_keys(landed, spec), f"landed-{table}")
+        out[table] = reports.derive_keys(staged(landed, f"landed-{table}"), spec)
     return out
 
 

@@ -22,14 +22,20 @@ def spread_by(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
-def refresh_table(df: DataFrame, name: str) -> None:
-    """Replace the whole content of a catalog table that ``df`` does not read."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+def refresh_table(df: DataFrame, name: str, path: str | None = None) -> None:
+    """Replace the whole content of a catalog table that ``df`` does not read.
+
+    ``path`` keeps the files outside the warehouse.
+    """
+    writer = df.write.mode("overwrite").format("parquet")
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Drop and rebuild a table from a plan, then read it back."""
-    refresh_table(df, name)
+    refresh_table(df, name, path)
     return df.sparkSession.table(name)
 
 
@@ -59,13 +65,15 @@ def replace_periods(df: DataFrame, path: str, partition: str = PERIOD) -> None:
     )
 
 
-def delete_from(spark: SparkSession, name: str, where: Column | str) -> None:
+def delete_from(
+    spark: SparkSession, name: str, where: Column | str, path: str | None = None
+) -> None:
     """Conditional delete on a catalog table: the remainder is written first, then swapped in.
 
-    If the write fails the table is as it was.
+    If the write fails the table is as it was. ``path`` is a new place for the remainder.
     """
     rest = f"{name}_{uuid.uuid4().hex}"
-    refresh_table(delete_where(spark.table(name), where), rest)
+    refresh_table(delete_where(spark.table(name), where), rest, path)
     spark.sql(f"DROP TABLE {name}")
     spark.sql(f"ALTER TABLE {rest} RENAME TO {name}")
 

@@ -168,7 +168,7 @@ def test_incremental_load(spark, tmp_path):
         "exports": facts(spark, {"2021-1": 1}, "new"),
     }
     result = incremental_load(spark, paths, second)
-    assert rows(result.periods) == [("imports", "2021-10"), ("imports", "2021-2")]
+    assert rows(result.periods) == [("imports", "2021-10", "load"), ("imports", "2021-2", "replace")]
     assert result.loaded == {"imports": True, "exports": False}
     now = spark.read.parquet(paths["imports"])
     assert {(r.period_id, r.mark, r["count"]) for r in now.groupBy("period_id", "mark").count().collect()} == {

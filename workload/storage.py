@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 import zipfile
 
 import pandas as pd
@@ -246,3 +247,61 @@ def views_registered(spark, sf):
     return relational.run_query(
         spark, "SELECT o_orderstatus, count(*) AS rows FROM vw_big_orders GROUP BY o_orderstatus"
     )
+
+
+def new_table(name):
+    return f"{name}_{uuid.uuid4().hex}"
+
+
+@query("table_refresh", "SELECT s_suppkey, s_acctbal FROM supplier")
+def table_refresh(spark, sf):
+    """K-01 and K-05: loading a second time leaves the rows there once."""
+    suppliers = table(spark, sf, "supplier").select("s_suppkey", "s_acctbal")
+    name, path = new_table("supplier_copy"), new_path(spark, "supplier-copy")
+    table_sinks.refresh_table(suppliers, name, path)
+    return table_sinks.materialize(suppliers, name, path)
+
+
+@query(
+    "table_delete",
+    """
+    SELECT c_custkey, segment FROM (SELECT c_custkey, nullif(c_mktsegment, 'MACHINERY') AS segment
+      FROM customer) WHERE NOT coalesce(segment = 'BUILDING', false)
+    """,
+)
+def table_delete(spark, sf):
+    """K-04 on a catalog table: a NULL in the predicate keeps its row."""
+    customers = table(spark, sf, "customer").select(
+        "c_custkey", F.nullif("c_mktsegment", F.lit("MACHINERY")).alias("segment")
+    )
+    name = new_table("customer_copy")
+    table_sinks.refresh_table(customers, name, new_path(spark, "customer-copy"))
+    table_sinks.delete_from(spark, name, "segment = 'BUILDING'", new_path(spark, "customer-rest"))
+    return spark.table(name)
+
+
+@query(
+    "country_list_file",
+    "SELECT 'all' AS country UNION ALL SELECT DISTINCT lower(c_mktsegment) FROM customer",
+)
+def country_list_file(spark, sf):
+    """K-10: the list as a JSON file."""
+    path = new_path(spark, "country-list")
+    file_sinks.write_country_list(table(spark, sf, "customer"), path, "c_mktsegment")
+    return spark.read.schema("country string").json(path)
+
+
+@query(
+    "sample_file",
+    """
+    SELECT o_orderkey || ';' || o_orderpriority AS value FROM orders ORDER BY o_orderkey LIMIT 100
+    """,
+)
+def sample_file(spark, sf):
+    """K-11: the first records as a text file."""
+    path = new_path(spark, "sample")
+    records = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("line_no"), F.concat_ws(";", "o_orderkey", "o_orderpriority").alias("value")
+    )
+    file_sinks.write_sample(records, path, "line_no")
+    return spark.read.text(path)

@@ -187,10 +187,31 @@ def ledger_compare(spark, sf):
     """,
 )
 def load_plan(spark, sf):
-    both = compared(spark, sf)
-    new = ledger.periods_to_load(both).withColumn("action", F.lit("load"))
-    stale = ledger.periods_to_replace(both).withColumn("action", F.lit("replace"))
-    return relational.union_all(new, stale).select("period_id", "action")
+    return ledger.load_plan(compared(spark, sf)).select("period_id", "action")
+
+
+@query(
+    "periods_to_load",
+    f"""
+    WITH {LOADED_SQL}
+    SELECT 'imports' AS trade_type, period_id FROM incoming
+    WHERE period_id NOT IN (SELECT period_id FROM loaded)
+    """,
+)
+def periods_to_load(spark, sf):
+    return ledger.periods_to_load(compared(spark, sf))
+
+
+@query(
+    "periods_to_replace",
+    f"""
+    WITH {LOADED_SQL}
+    SELECT 'imports' AS trade_type, period_id FROM incoming i JOIN loaded l USING (period_id)
+    WHERE i.n <> l.n
+    """,
+)
+def periods_to_replace(spark, sf):
+    return ledger.periods_to_replace(compared(spark, sf))
 
 
 @query(
