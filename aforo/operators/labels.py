@@ -12,6 +12,9 @@ from aforo.operators.joins import fits_broadcast, lookup_join
 
 UNKNOWN_CODE = -1
 
+# Spark's own limit for whole-stage code (spark.sql.codegen.maxFields).
+WIDE = 100
+
 
 @dataclass(frozen=True)
 class Role:
@@ -57,14 +60,25 @@ def label_codes(
     A NULL code takes the label of ``unknown_code``; a code the dimension does not know takes NULL.
     Each dimension is two columns, code and name, in this order; its size is checked once however
     many roles it serves.
+
+    Above ``WIDE`` columns Spark leaves whole-stage code and copies every column once per join. Such
+    a row is packed into one struct, which the joins hand on as a single value, and unpacked after
+    the last. Columns that nobody reads are still pruned from the scan.
     """
     used = {r.dimension: dims[r.dimension] for r in roles}
     small = {name: fits_broadcast(dim) for name, dim in used.items()}
-    for role in roles:
+    codes = {
+        f"__code_{i}": F.coalesce(F.col(r.code), F.lit(unknown_code)) for i, r in enumerate(roles)
+    }
+    wide = len(df.columns) > WIDE
+    if wide:
+        packed = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row")
+        df = df.select(packed, *[code.alias(name) for name, code in codes.items()])
+        codes = {name: F.col(name) for name in codes}
+    for role, code in zip(roles, codes.values(), strict=True):
         dim = used[role.dimension].toDF("code", role.label)
-        key = F.coalesce(F.col(role.code), F.lit(unknown_code))
-        df = lookup_join(df, dim, [(key, "code")], "left", small=small[role.dimension])
-    return df
+        df = lookup_join(df, dim, [(code, "code")], "left", small=small[role.dimension])
+    return df.select("__row.*", *[r.label for r in roles]) if wide else df
 
 
 def label_imports(df: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:

@@ -372,3 +372,16 @@ def test_hot_key_is_split_when_the_lookup_is_large(spark):
     finally:
         for key in settings:
             spark.conf.unset(key)
+
+
+def test_wide_rows_are_packed_with_the_same_result(spark):
+    dim = spark.createDataFrame([(-1, "DESCONOCIDO"), (1, "A")], "codigo int, nombre string")
+    roles = [Role("o", "pais", "origen"), Role("d", "pais", "destino")]
+    narrow = spark.createDataFrame([(1, None, "x"), (None, 9, "y")], "o int, d int, `a.b` string")
+    wide = narrow.select("*", *[F.lit(i).alias(f"c{i}") for i in range(120)])
+    packed = label_codes(wide, {"pais": dim}, roles)
+    assert packed.columns == [*wide.columns, "origen", "destino"]
+    plan = packed._jdf.queryExecution().optimizedPlan().toString()
+    assert "__row" in plan
+    slim = packed.select("o", "d", F.col("`a.b`"), "origen", "destino")
+    assert rows(slim) == rows(label_codes(narrow, {"pais": dim}, roles))
