@@ -109,9 +109,17 @@ def rebuild_reports(
     return views
 
 
-def monthly_run(spark: SparkSession, layout: Layout, as_of: date | None = None) -> LoadResult:
-    """Load what is new or incomplete, then rebuild the reports if anything was loaded."""
+def monthly_run(
+    spark: SparkSession, layout: Layout, as_of: date | None = None, always_rebuild: bool = False
+) -> LoadResult:
+    """Load what is new or incomplete, then rebuild the reports if anything was loaded.
+
+    ``always_rebuild`` is for a run that follows one which failed between loading and reporting.
+    """
     dims, converter = refresh_reference(spark, layout, as_of)
     result = incremental_load(spark, layout.fact_paths(), landed_facts(spark, layout))
-    refresh_reports_if(result, lambda: rebuild_reports(spark, layout, dims, converter))
+    if always_rebuild:
+        rebuild_reports(spark, layout, dims, converter)
+    else:
+        refresh_reports_if(result, lambda: rebuild_reports(spark, layout, dims, converter))
     return result

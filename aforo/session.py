@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,13 +52,15 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: the cluster's checkpoint setting.
 
-    Only where nothing is set (tests, a laptop) a temporary folder is made and remembered.
+    Only where nothing is set (tests, a laptop) a temporary folder is made, once per application.
     """
-    current = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
-    if not current:
-        current = tempfile.mkdtemp(prefix="aforo-")
-        spark.conf.set(CHECKPOINT_KEY, current)
-    return current.rstrip("/")
+    configured = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
+    return (configured or _own_folder(spark.sparkContext.applicationId)).rstrip("/")
+
+
+@cache
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"aforo-{application}-")
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -1,11 +1,14 @@
+import random
+import re
 from datetime import date, datetime
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal, InvalidOperation
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from aforo.functions import amounts, keys, text, timestamps
+from aforo.session import shared_folder, staged
 
 
 def column(spark, values, ddl, expression):
@@ -158,3 +161,25 @@ def test_text_forms(spark):
     df = spark.sql("SELECT timestamp'2021-01-02 03:04:05' AS t, 1 AS n, date'2021-01-01' AS d")
     assert timestamps.timestamps_to_text(df).first()["t"] == "2021-01-02 03:04:05"
     assert tuple(text.all_to_string(df).first()) == ("2021-01-02 03:04:05", "1", "2021-01-01")
+
+
+def test_clean_amount_equals_the_rule_on_random_text(spark):
+    random.seed(7)
+    texts = ["".join(random.choices("0123456789.,-- aU$", k=random.randint(0, 9))) for _ in range(3000)]
+
+    def rule(value):
+        kept = re.sub("[^0-9.-]", "", value.replace(",", ".")) or "0"
+        try:
+            return Decimal(kept).quantize(Decimal("0.01"), ROUND_HALF_UP)
+        except InvalidOperation:
+            return None
+
+    assert column(spark, texts, "string", amounts.clean_amount("c")) == [rule(t) for t in texts]
+
+
+def test_shared_folder(spark):
+    configured = spark.conf.get("spark.checkpoint.dir")
+    assert shared_folder(spark) == configured
+    frame = staged(spark.range(5), "numbers")
+    assert frame.count() == 5
+    assert frame.inputFiles()[0].startswith(f"file://{configured}/numbers-")

@@ -41,7 +41,13 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = lambda spark, sf: plain(fn(tune(spark), sf))
+
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            # Wall clocks in the tables are UTC.
+            tune(spark).conf.set("spark.sql.session.timeZone", "UTC")
+            return plain(fn(spark, sf))
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql.strip()
         return fn
