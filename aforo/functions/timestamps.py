@@ -25,16 +25,19 @@ def parse_ts(c: Column | str) -> Column:
 def convert_tz(
     df: DataFrame, columns: Sequence[str], from_tz: str, to_tz: str, fmt: str | None = None
 ) -> DataFrame:
-    """Read the columns as wall clock in ``from_tz`` and express them in ``to_tz``.
+    """Express the columns in ``to_tz``, as wall clock or, with ``fmt``, as text.
 
-    Text goes through :func:`parse_ts`, so text that is no date becomes NULL. With ``fmt`` the
-    result is text.
+    Text and timestamps without zone are wall clocks in ``from_tz``; text goes through
+    :func:`parse_ts`, so text that is no date becomes NULL. A timestamp with zone is a moment
+    already and ``from_tz`` does not apply to it.
     """
     out = {}
     for name in columns:
-        text = isinstance(df.schema[name].dataType, T.StringType)
-        naive = parse_ts(name) if text else F.col(name).cast("timestamp_ntz")
-        moved = F.convert_timezone(F.lit(from_tz), F.lit(to_tz), naive)
+        kind = df.schema[name].dataType
+        naive = parse_ts(name) if isinstance(kind, T.StringType) else F.col(name).cast("timestamp_ntz")
+        # The cast shows a moment in the session's zone.
+        zone = F.current_timezone() if isinstance(kind, T.TimestampType) else F.lit(from_tz)
+        moved = F.convert_timezone(zone, F.lit(to_tz), naive)
         out[name] = F.date_format(moved, fmt) if fmt else moved
     return df.withColumns(out)
 

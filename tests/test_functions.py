@@ -157,6 +157,21 @@ def test_parse_ts_and_zones(spark):
     ]
 
 
+@pytest.mark.parametrize("session_zone", ["UTC", "America/Santiago"])
+def test_timestamps_with_and_without_zone(spark, session_zone):
+    spark.conf.set("spark.sql.session.timeZone", session_zone)
+    try:
+        df = spark.sql(
+            "SELECT timestamp'2021-07-01 12:00:00+00:00' AS moment, "
+            "timestamp_ntz'2021-07-01 12:00:00' AS wall"
+        )
+        fmt = timestamps.DATETIME_FORMAT
+        got = timestamps.convert_tz(df, ["moment", "wall"], "Asia/Tokyo", "Europe/Madrid", fmt)
+        assert tuple(got.first()) == ("2021-07-01 14:00:00", "2021-07-01 05:00:00")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_text_forms(spark):
     df = spark.sql("SELECT timestamp'2021-01-02 03:04:05' AS t, 1 AS n, date'2021-01-01' AS d")
     assert timestamps.timestamps_to_text(df).first()["t"] == "2021-01-02 03:04:05"
