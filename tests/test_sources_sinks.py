@@ -184,3 +184,20 @@ def test_incremental_load(spark, tmp_path):
         ("imports", "2020-12", 4), ("imports", "2021-1", 2), ("imports", "2021-10", 1),
         ("imports", "2021-2", 5),
     ]
+
+
+def test_hot_period_is_written_by_several_tasks(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100kb")
+    try:
+        df = spark.range(0, 200_000, 1, 8).selectExpr(
+            "id", "uuid() AS filler",
+            "CASE WHEN id % 3 = 0 THEN '2021-5' ELSE concat('2020-', 1 + id % 12) END AS period_id",
+        )
+        table_sinks.replace_periods(df, str(tmp_path / "facts"))
+        table_sinks.replace_periods(df.filter("period_id = '2021-5'"), str(tmp_path / "facts"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    hot = list((tmp_path / "facts" / "period_id=2021-5").glob("*.parquet"))
+    cold = list((tmp_path / "facts" / "period_id=2020-1").glob("*.parquet"))
+    assert len(hot) > 4 and len(cold) < len(hot)
+    assert spark.read.parquet(str(tmp_path / "facts")).count() == 200_000

@@ -301,9 +301,9 @@ def quintal_prices(spark, sf):
 @query(
     "line_ends_trimmed",
     r"""
-    SELECT doc_id, length(regexp_replace(text || chr(13) || chr(10) || ' ', '[ \t\n\x0B\f\r]+$', ''))
-        AS kept_right,
-      length(trim(replace(replace(text, chr(13), ''), chr(10), ''), ' ')) AS kept_both
+    SELECT doc_id, CAST(length(regexp_replace(text || chr(13) || chr(10) || ' ',
+        '[ \t\n\x0B\f\r]+$', '')) AS INTEGER) AS kept_right,
+      CAST(length(trim(replace(replace(text, chr(13), ''), chr(10), ''), ' ')) AS INTEGER) AS kept_both
     FROM documents
     """,
 )

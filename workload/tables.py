@@ -369,7 +369,7 @@ def typed_columns(spark, sf):
 @query(
     "type_rejects",
     """
-    SELECT 0 AS linea_rejects, count(*) FILTER (l_returnflag = 'R') AS monto_rejects FROM lineitem
+    SELECT CAST(0 AS BIGINT) AS linea_rejects, count(*) FILTER (l_returnflag = 'R') AS monto_rejects FROM lineitem
     """,
 )
 def type_rejects(spark, sf):
