@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from aforo.llm import byte_bpe
+from aforo.llm import byte_bpe, near_dedup, sql
 from aforo.llm.registry import ORACLE, QUERIES, query, table  # noqa: F401
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -15,3 +15,8 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     ranks = byte_bpe.read_ranks(RANKS)
     return byte_bpe.encode(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN, digest=True)
+
+
+@query("op9_near_dedup", sql.NEAR_DEDUP)
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf, "documents"))
