@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from aforo.llm import byte_bpe, near_dedup, sql
+from aforo.llm import byte_bpe, near_dedup, sql, substring_dedup
 from aforo.llm.registry import ORACLE, QUERIES, query, table  # noqa: F401
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -20,3 +20,9 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
 @query("op9_near_dedup", sql.NEAR_DEDUP)
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf, "documents"))
+
+
+@query("op10_substring_dedup", sql.REPEATED_PASSAGES)
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    judged = substring_dedup.repeated_passages(table(spark, sf, "documents"))
+    return judged.select("doc_id", "n_words", "n_removed", "kept_sha256")

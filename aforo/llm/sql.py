@@ -23,3 +23,19 @@ links AS MATERIALIZED (
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN best ON best.a = d.doc_id
 """
+
+REPEATED_PASSAGES = f"""
+WITH d AS MATERIALIZED (
+  SELECT doc_id, {WORDS.format("coalesce(text, '')")} AS w FROM documents
+), s AS MATERIALIZED (
+  SELECT doc_id, p, md5(array_to_string(w[p:p + 49], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS p FROM d WHERE len(w) >= 50)
+), gone AS (
+  SELECT DISTINCT s.doc_id, unnest(range(p, p + 50)) AS p
+  FROM s JOIN (SELECT h, min(doc_id) AS first FROM s GROUP BY h) f ON f.h = s.h WHERE f.first < s.doc_id
+), cut AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_removed,
+  sha256(array_to_string(CASE WHEN ps IS NULL THEN w ELSE list_transform(
+    list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(ps, i)), lambda i: w[i]) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN cut ON cut.doc_id = d.doc_id
+"""
