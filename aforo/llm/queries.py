@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from aforo.llm import byte_bpe, near_dedup, sql, substring_dedup
+from aforo.llm import byte_bpe, decontaminate, near_dedup, sql, substring_dedup
 from aforo.llm.registry import ORACLE, QUERIES, query, table  # noqa: F401
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -26,3 +26,8 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     judged = substring_dedup.repeated_passages(table(spark, sf, "documents"))
     return judged.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op3_decontamination")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
