@@ -21,7 +21,7 @@ MIX_3 = np.uint64(0x94D049BB133111EB)
 
 
 class Staging:
-    """Tables written below the shared folder and read back; ``drop`` removes those no longer read."""
+    """Tables written below the shared folder and read back."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.name, self.paths = spark, name, []
@@ -32,10 +32,13 @@ class Staging:
         self.paths.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self) -> None:
-        for path in self.paths:
+    def result(self, df: DataFrame) -> DataFrame:
+        """Stage the last table and drop all that it was made from."""
+        made, self.paths = self.paths, []
+        out = self.table(df, "result")
+        for path in made:
             drop_path(self.spark, path)
-        self.paths = []
+        return out
 
 
 def drop_path(spark: SparkSession, path: str) -> None:

@@ -329,16 +329,11 @@ def near_duplicates(
     least = near.stage.table(parts.groupBy("label").agg(F.min("least").alias("component_id")), "least")
     named = near.stage.table(parts.join(least, "label").select("node", "component_id"), "named")
     out = near.documents.join(named, "node", "left").withColumn("component_id", F.coalesce("component_id", "id"))
-    out = near.stage.table(
+    return near.stage.result(
         out.select(
             F.col("id").alias(key),
             F.col("n").alias("n_shingles"),
             "component_id",
             F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
-        ),
-        "result",
+        )
     )
-    result = near.stage.paths.pop()
-    near.stage.drop()
-    near.stage.paths.append(result)
-    return out

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from aforo.llm import byte_bpe, decontaminate, near_dedup, sql, substring_dedup
+from aforo.llm import byte_bpe, decontaminate, near_dedup, quality_classifier, sql, substring_dedup
 from aforo.llm.registry import ORACLE, QUERIES, query, table  # noqa: F401
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -31,3 +32,24 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
 @query("op3_decontamination")
 def op3(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op4_quality")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "documents")
+    scored = quality_classifier.score(documents, quality_model(spark, documents, sf))
+    return scored.select(
+        "doc_id",
+        F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def remainder(key: str, n: int) -> Column:
+    return F.crc32(F.col(key).cast("string").cast("binary")) % n
+
+
+def quality_model(spark: SparkSession, documents: DataFrame, sf: str) -> quality_classifier.Model | float:
+    labels = table(spark, sf, "labels")
+    return quality_classifier.fit(documents, labels.where(remainder("doc_id", 3) != 1))

@@ -312,4 +312,4 @@ def repeated_passages(
         .select("block", "hash", "check", F.col("first").alias("least"))
     )
     judged = columns.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(judge, JUDGED)
-    return judged.withColumnRenamed("id", key)
+    return stage.result(judged.withColumnRenamed("id", key))
