@@ -10,24 +10,25 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from aforo.llm.common import id_and_text, pack_ints, pack_strings
+from aforo.llm.common import give_back, id_and_text, pack_ints, pack_strings
 
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 12 << 20
 SCHEMA = (
-    "block long, ids array<long>, sizes binary, vocabulary binary, marks binary, sequence binary, bytes long"
+    "block long, name long, ids array<long>, sizes binary, vocabulary binary, marks binary, sequence binary"
 )
 ARROW = pa.schema(
     [
         ("block", pa.int64()),
+        ("name", pa.int64()),
         ("ids", pa.list_(pa.int64())),
         ("sizes", pa.binary()),
         ("vocabulary", pa.binary()),
         ("marks", pa.binary()),
         ("sequence", pa.binary()),
-        ("bytes", pa.int64()),
     ]
 )
 
@@ -54,14 +55,16 @@ class _Block:
         words = [words[i] for i in placed.tolist()]
         rank = np.empty(len(words), np.uint32)
         rank[placed] = np.arange(len(words), dtype=np.uint32)
+        vocabulary, sequence = pack_strings(words), pack_ints(rank[sequence])
         row = {
             "block": number,
+            # Tells this block from one with the same number that another run of the plan made differently.
+            "name": xxhash.xxh3_64_intdigest(vocabulary + sequence) >> 1,
             "ids": self.ids,
             "sizes": pack_ints(np.array(self.sizes, np.uint32)),
-            "vocabulary": pack_strings(words),
+            "vocabulary": vocabulary,
             "marks": mark(words) if mark else None,
-            "sequence": pack_ints(rank[sequence]),
-            "bytes": self.bytes,
+            "sequence": sequence,
         }
         return pa.RecordBatch.from_pylist([row], schema=ARROW)
 
@@ -78,8 +81,8 @@ def packed(
     """One row per block. ``split`` makes a text's words, ``as_bytes`` a word's bytes, ``mark`` one
     more array about the block's words. A NULL text has none.
 
-    Block numbers are unique within one run of the plan and may change in another, so stage the
-    result before it is read twice.
+    Block numbers follow the input's partitions, so a stable table gives the same blocks whenever they are made;
+    ``name`` is a hash of what a block holds.
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,9 +93,13 @@ def packed(
                 raw = value.as_py()
                 block.add(key_, split(raw) if raw else [], len(raw or b""))
                 if block.bytes >= block_bytes:
-                    yield block.row(number, as_bytes, mark)
-                    number, block = number + 1, _Block()
+                    made, block = block.row(number, as_bytes, mark), _Block()
+                    give_back()
+                    yield made
+                    number += 1
         if block.ids:
-            yield block.row(number, as_bytes, mark)
+            made, block = block.row(number, as_bytes, mark), None
+            give_back()
+            yield made
 
     return id_and_text(df, key, text).mapInArrow(pack, SCHEMA)

@@ -21,16 +21,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aforo.llm.blocks import packed
-from aforo.llm.common import Staging, pack_ints, pack_strings, unpack_ints, unpack_strings
+from aforo.llm.common import give_back, pack_ints, pack_strings, unpack_ints, unpack_strings
 
-# Distinct words of all blocks that one bucket takes, in compressed bytes.
-BUCKET_BYTES = 3 << 20
+# Text whose distinct words one bucket takes.
+BUCKET_BYTES = 16 << 20
 FINE = 1 << 16
 
 ENCODED = "id long, n_tokens long, ids binary, decoded binary"
 DIGESTED = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-REQUEST = "bucket int, block long, words binary"
-RESPONSE = "block long, bucket int, sizes binary, ids binary"
+REQUEST = "bucket int, block long, name long, words binary"
+RESPONSE = "block long, name long, bucket int, sizes binary, ids binary"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -67,6 +67,7 @@ def _requests(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Re
                         {
                             "bucket": pa.array([int(bucket[a])], pa.int32()),
                             "block": [row["block"]],
+                            "name": [row["name"]],
                             "words": pa.array([asked], pa.binary()),
                         }
                     )
@@ -76,7 +77,7 @@ def _encode(table: pa.Table, ranks: dict[bytes, int], pattern: str) -> pa.Table:
     """All requests of a bucket: each distinct word is encoded once."""
     encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
     known: dict[bytes, list[int]] = {}
-    out = {"block": [], "bucket": [], "sizes": [], "ids": []}
+    out = {"block": [], "name": [], "bucket": [], "sizes": [], "ids": []}
     for row in table.to_pylist():
         ids, sizes = [], []
         for word in unpack_strings(row["words"]):
@@ -86,13 +87,20 @@ def _encode(table: pa.Table, ranks: dict[bytes, int], pattern: str) -> pa.Table:
             ids.extend(got)
             sizes.append(len(got))
         out["block"].append(row["block"])
+        out["name"].append(row["name"])
         out["bucket"].append(row["bucket"])
         out["sizes"].append(pack_ints(np.array(sizes, np.uint32)))
         out["ids"].append(pack_ints(np.array(ids, np.uint32)))
     return pa.Table.from_pydict(
         out,
         schema=pa.schema(
-            [("block", pa.int64()), ("bucket", pa.int32()), ("sizes", pa.binary()), ("ids", pa.binary())]
+            [
+                ("block", pa.int64()),
+                ("name", pa.int64()),
+                ("bucket", pa.int32()),
+                ("sizes", pa.binary()),
+                ("ids", pa.binary()),
+            ]
         ),
     )
 
@@ -108,6 +116,8 @@ def _documents(blocks: pa.Table, answers: pa.Table, buckets: int) -> Iterator[tu
     for row in blocks.to_pylist():
         placed, _ = _grouped(row["marks"], buckets)
         answer = np.empty(len(placed), np.int64)
+        if len(sizes) != len(placed):
+            raise ValueError("the input changed between two reads; stage it as a table first")
         answer[placed] = np.arange(len(placed))
         sequence, at = answer[unpack_ints(row["sequence"])], 0
         for key, count in zip(row["ids"], unpack_ints(row["sizes"]).tolist()):
@@ -137,6 +147,7 @@ def _reassemble(
         else:
             left.append(pack_ints(ids))
             right.append(decoded)
+    give_back()
     kind = pa.string() if digest else pa.binary()
     names_out = ("ids_sha256", "decoded_sha256") if digest else ("ids", "decoded")
     return pa.table(
@@ -162,20 +173,18 @@ def encode(
     bytes they decode to; with ``digest`` the SHA-256 of the decimal ids joined by a space and of those bytes.
 
     A NULL or empty text has no tokens. Repeated rows and keys, NULL keys among them, each give a row.
-    Other columns are not read. An empty input gives no rows.
+    Other columns are not read. An empty input gives no rows. The input is read twice, once for the distinct
+    words and once for their positions, and must be a stable table; blocks that differ are noticed and raise.
     """
     compiled = regex.compile(pattern)
 
     def split(raw: bytes) -> list[str]:
         return compiled.findall(raw.decode("utf-8", "replace"))
 
-    spark, stage = df.sparkSession, Staging(df.sparkSession, "bpe")
-    blocks = stage.table(
-        packed(df, key, text, split, lambda w: w.encode("utf-8"), _marks), "blocks"
-    )
-    volume = blocks.agg(F.sum(F.octet_length("vocabulary"))).first()[0] or 0
-    buckets = int(min(FINE, max(spark.sparkContext.defaultParallelism, volume // bucket_bytes)))
-    requests = blocks.select("block", "vocabulary", "marks").mapInArrow(
+    blocks = packed(df, key, text, split, lambda w: w.encode("utf-8"), _marks)
+    volume = df.agg(F.sum(F.octet_length(F.col(f"`{text}`")).cast("long"))).first()[0] or 0
+    buckets = int(min(FINE, max(df.sparkSession.sparkContext.defaultParallelism, volume // bucket_bytes)))
+    requests = blocks.select("block", "name", "vocabulary", "marks").mapInArrow(
         partial(_requests, buckets=buckets), REQUEST
     )
 
@@ -191,9 +200,9 @@ def encode(
         return _reassemble(asked, answered, buckets, decoded, digest)
 
     out = (
-        blocks.select("block", "ids", "sizes", "marks", "sequence")
-        .groupBy("block")
-        .cogroup(answers.groupBy("block"))
+        blocks.select("block", "name", "ids", "sizes", "marks", "sequence")
+        .groupBy("block", "name")
+        .cogroup(answers.groupBy("block", "name"))
         .applyInArrow(reassemble, DIGESTED if digest else ENCODED)
     )
     return out.withColumnRenamed("id", key)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +17,7 @@ from aforo.session import new_path
 
 # Words are runs of other characters than ASCII white space. The same set is what bytes.split() splits at.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 MIX_2 = np.uint64(0xBF58476D1CE4E5B9)
 MIX_3 = np.uint64(0x94D049BB133111EB)
@@ -47,8 +50,17 @@ def drop_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+# Batches that Spark hands to Python: a few hundred documents, or fewer long ones.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+}
+
+
 def id_and_text(df: DataFrame, key: str, text: str) -> DataFrame:
     """Two columns: the key as a long and the text's UTF-8 bytes, NULL kept."""
+    for name, value in BATCHES.items():
+        df.sparkSession.conf.set(name, value)
     return df.select(
         F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").cast("binary").alias("text")
     )
@@ -86,6 +98,13 @@ def windows(hashes: np.ndarray, size: int, multiplier: np.uint64 = MIX) -> np.nd
     return mixed(out)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on from task to task beside the JVM."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def squeeze(data: bytes) -> bytes:
     return zstandard.ZstdCompressor(level=3).compress(data)
 

@@ -22,11 +22,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aforo.llm.common import Staging, WordHashes, id_and_text, mixed, squeeze, unsqueeze
+from aforo.llm.common import Staging, WordHashes, give_back, id_and_text, mixed, squeeze, unsqueeze
 
 WINDOW = 50
 PHRASE = 10
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 3 << 20
 PACKED = "block long, ids array<long>, sizes array<long>, texts array<binary>, raw array<binary>, words binary"
 ROW = pa.schema(
     [
@@ -229,6 +229,8 @@ def _windows(blocks: pa.Table, confirmed: pa.Table, window: int, phrase: int) ->
                     own = documents.hashes[a:b]
                     found.add(key, rolling.runs(own, window)[open_], second.runs(own, window)[open_])
         out.append(found.batch(row["block"], "hash", "check"))
+        del documents
+    give_back()
     empty = _Extremes().batch(0, "hash", "check")
     return pa.Table.from_batches([*out, empty])
 
@@ -267,6 +269,7 @@ def _judge(blocks: pa.Table, repeated: pa.Table, window: int) -> pa.Table:
             values = (key, b - a, b - a - len(words), hashlib.sha256(kept).hexdigest(), kept if any_ else None, raw.hex())
             for column, value in zip(out.values(), values):
                 column.append(value)
+    give_back()
     return pa.Table.from_pydict(out, schema=RESULT)
 
 
