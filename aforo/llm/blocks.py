@@ -12,13 +12,14 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from aforo.llm.common import give_back, id_and_text, pack_ints, pack_strings
 
 BLOCK_BYTES = 12 << 20
 SCHEMA = (
-    "block long, name long, ids array<long>, sizes binary, vocabulary binary, marks binary, sequence binary"
+    "block long, name long, ids array<long>, sizes binary, vocabulary binary, marks binary, sequence binary, flags array<boolean>"
 )
 ARROW = pa.schema(
     [
@@ -29,19 +30,21 @@ ARROW = pa.schema(
         ("vocabulary", pa.binary()),
         ("marks", pa.binary()),
         ("sequence", pa.binary()),
+        ("flags", pa.list_(pa.bool_())),
     ]
 )
 
 
 class _Block:
     def __init__(self) -> None:
-        self.ids, self.sizes, self.sequence, self.bytes = [], [], [], 0
+        self.ids, self.sizes, self.flags, self.sequence, self.bytes = [], [], [], [], 0
         self.vocabulary: dict[bytes, int] = {}
 
-    def add(self, key: int | None, words: list, size: int) -> None:
+    def add(self, key: int | None, words: list, size: int, flag: bool | None = None) -> None:
         known = self.vocabulary
         local = [known.setdefault(w, len(known)) for w in words]
         self.ids.append(key)
+        self.flags.append(flag)
         self.sizes.append(len(words))
         self.sequence.append(np.array(local, np.uint32))
         self.bytes += size
@@ -65,6 +68,7 @@ class _Block:
             "vocabulary": vocabulary,
             "marks": mark(words) if mark else None,
             "sequence": sequence,
+            "flags": self.flags,
         }
         return pa.RecordBatch.from_pylist([row], schema=ARROW)
 
@@ -76,10 +80,11 @@ def packed(
     split: Callable[[bytes], list],
     as_bytes: Callable = bytes,
     mark: Callable[[list[bytes]], bytes] | None = None,
+    flag: Column | None = None,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """One row per block. ``split`` makes a text's words, ``as_bytes`` a word's bytes, ``mark`` one
-    more array about the block's words. A NULL text has none.
+    more array about the block's words. A NULL text is split like an empty one. ``flag`` goes along with each document.
 
     Block numbers follow the input's partitions, so a stable table gives the same blocks whenever they are made;
     ``name`` is a hash of what a block holds.
@@ -89,9 +94,9 @@ def packed(
         number = TaskContext.get().partitionId() << 24
         block = _Block()
         for batch in batches:
-            for key_, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                raw = value.as_py()
-                block.add(key_, split(raw) if raw else [], len(raw or b""))
+            for key_, value, own in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+                raw = value.as_py() or b""
+                block.add(key_, split(raw), len(raw), own)
                 if block.bytes >= block_bytes:
                     made, block = block.row(number, as_bytes, mark), _Block()
                     give_back()
@@ -102,4 +107,5 @@ def packed(
             give_back()
             yield made
 
-    return id_and_text(df, key, text).mapInArrow(pack, SCHEMA)
+    own = F.lit(None).cast("boolean") if flag is None else flag
+    return id_and_text(df, key, text, own.alias("flag")).mapInArrow(pack, SCHEMA)

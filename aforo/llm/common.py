@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aforo.session import new_path
@@ -57,12 +57,12 @@ BATCHES = {
 }
 
 
-def id_and_text(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Two columns: the key as a long and the text's UTF-8 bytes, NULL kept."""
+def id_and_text(df: DataFrame, key: str, text: str, *more: Column) -> DataFrame:
+    """The key as a long and the text's UTF-8 bytes, NULL kept, then more columns."""
     for name, value in BATCHES.items():
         df.sparkSession.conf.set(name, value)
     return df.select(
-        F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").cast("binary").alias("text")
+        F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").cast("binary").alias("text"), *more
     )
 
 

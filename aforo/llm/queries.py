@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aforo.llm import byte_bpe, decontaminate, near_dedup, quality_classifier, sql, substring_dedup
+from aforo.llm import (
+    byte_bpe,
+    decontaminate,
+    lm_score,
+    near_dedup,
+    quality_classifier,
+    quality_rules,
+    sql,
+    substring_dedup,
+    token_counts,
+    url_filter,
+)
 from aforo.llm.registry import ORACLE, QUERIES, query, table  # noqa: F401
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -53,3 +64,38 @@ def remainder(key: str, n: int) -> Column:
 def quality_model(spark: SparkSession, documents: DataFrame, sf: str) -> quality_classifier.Model | float:
     labels = table(spark, sf, "labels")
     return quality_classifier.fit(documents, labels.where(remainder("doc_id", 3) != 1))
+
+
+RULES = [
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+
+
+@query("op1_url_filter", sql.URL_FILTER)
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    rules = spark.createDataFrame(RULES, "action string, rule string")
+    judged = url_filter.filter_urls(table(spark, sf, "pages").select("page_id", "url"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op6_token_counts")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    ranks = byte_bpe.read_ranks(RANKS)
+    counted = token_counts.lengths(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
+    return token_counts.limits(counted)
+
+
+@query("op5_quality_rules")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_rules.judged(table(spark, sf, "documents")).drop("js_chars", "js_common")
+
+
+@query("op7_lm_score")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "documents")
+    train = F.coalesce(remainder("doc_id", 5) != 1, F.lit(True))
+    return lm_score.lm_scores(documents, train)

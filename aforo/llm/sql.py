@@ -39,3 +39,21 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_re
     list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(ps, i)), lambda i: w[i]) END, ' ')) AS kept_sha256
 FROM d LEFT JOIN cut ON cut.doc_id = d.doc_id
 """
+
+URL_FILTER = r"""
+WITH u AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS a FROM pages
+), p AS (
+  SELECT page_id, translate(regexp_extract(a, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(a, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM u
+), rules(h, r, verdict) AS (
+  VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+    ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+), fit AS (
+  SELECT page_id, max_by(struct_pack(rule := h || r, verdict := verdict), length(h || r)) AS best
+  FROM p JOIN rules ON starts_with(path, r) AND (host = h OR ends_with(host, '.' || h)) GROUP BY page_id
+)
+SELECT p.page_id, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') AS verdict
+FROM p LEFT JOIN fit ON fit.page_id = p.page_id
+"""
