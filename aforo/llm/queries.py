@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from aforo.llm import (
     byte_bpe,
     decontaminate,
+    license_scan,
     lm_score,
     near_dedup,
     quality_classifier,
@@ -99,3 +100,12 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
     documents = table(spark, sf, "documents")
     train = F.coalesce(remainder("doc_id", 5) != 1, F.lit(True))
     return lm_score.lm_scores(documents, train)
+
+
+@query("op2_license_scan")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents have no paths: the source and groups of keys are taken as directories, every tenth file as LICENSE."""
+    name = F.when(F.col("doc_id") % 10 == 0, "LICENSE").otherwise(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    group = lambda n: F.floor(F.col("doc_id") / n).cast("string")
+    path = F.concat_ws("/", "source", group(1000), group(100), name)
+    return license_scan.scan_licenses(table(spark, sf, "documents").withColumn("path", path))
