@@ -15,8 +15,11 @@ def _col(c: Column | str) -> Column:
 
 
 def integer_text(c: Column | str) -> Column:
-    """Text of an integer that may have been stored as ``123.0``."""
+    """Text of an integer that may have been stored as ``123.0`` or as a double, which prints ``1.23E7``."""
     text = F.trim(_col(c).cast("string"))
+    number = F.when(text.rlike(r"^-?[0-9.]+E[0-9]+$"), text.try_cast("decimal(38,10)"))
+    whole = number.try_cast("decimal(38,0)")
+    text = F.when(number == whole, whole.cast("string")).otherwise(text)
     stored_as_float = text.endswith("0") & text.contains(".")
     return F.when(stored_as_float, F.regexp_replace(text, r"\.0+$", "")).otherwise(text)
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aforo.functions.keys import UNKNOWN
-from aforo.operators.joins import fits_broadcast, lookup_join
+from aforo.operators.joins import fits_broadcast, lookup_join, reduced_join
 
 DEVICE, MAC, SUBTYPE, GATE = "device_source_id", "device_mac_address", "device_subtype", "gate_id"
 NOT_APPLICABLE = "Not Applicable"
@@ -26,7 +26,7 @@ def authorise(
         F.max(subtype).alias(subtype), F.lit(True).alias("authorised")
     )
     small = fits_broadcast(devices.select(device, mac, subtype))
-    joined = lookup_join(events, known, [(device, device), (mac, mac)], "left", small)
+    joined = reduced_join(events, known, [(device, device), (mac, mac)], small)
     label = F.when(F.col("authorised"), F.col(subtype)).otherwise(F.lit(NOT_APPLICABLE))
     return joined.withColumns(
         {subtype: label, "authorised": F.coalesce("authorised", F.lit(False))}
@@ -48,7 +48,7 @@ def with_gate(
     """Add the gate of the device, NULL where unknown; several gates give the least."""
     gates = devices.groupBy(device).agg(F.min(gate).alias(gate))
     small = fits_broadcast(devices.select(device, gate))
-    return lookup_join(events, gates, [(device, device)], "left", small)
+    return reduced_join(events, gates, [(device, device)], small)
 
 
 def vehicle_events(
@@ -86,9 +86,9 @@ def deletion_audit(
     )
 
 
-def without_keys(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+def without_keys(df: DataFrame, keys: DataFrame, column: str, small: bool | None = None) -> DataFrame:
     """Rows whose ``column`` is not among the keys; a NULL value stays."""
-    return lookup_join(df, keys.select(column), [(column, column)], "left_anti")
+    return lookup_join(df, keys.select(column), [(column, column)], "left_anti", small)
 
 
 def delete_with_audit(
@@ -105,7 +105,7 @@ def clear_references(
     removed = keys.select(F.col(key).alias("__removed_key")).distinct()
     removed = removed.withColumn("__removed", F.lit(True))
     small = fits_broadcast(keys.select(key))
-    joined = lookup_join(df, removed, [(reference, "__removed_key")], "left", small)
+    joined = reduced_join(df, removed, [(reference, "__removed_key")], small)
     cleared = {
         c: F.when(F.col("__removed").isNull(), F.col(c)) for c in (reference, *also)
     }
@@ -122,14 +122,17 @@ def cascade_delete(
 ) -> dict[str, DataFrame]:
     """Remaining rows of the event tables after deleting by device or event.
 
-    Predictions hang on image names, which are taken from the image table as it was before.
+    Predictions hang on image names, which are taken from the image table as it was before. The keys are measured
+    once, and the image names by the image table that bounds them.
     """
+    small = fits_broadcast(keys.select(key))
     out = {
-        name: without_keys(df, keys, key) for name, df in tables.items() if name != predictions
+        name: without_keys(df, keys, key, small) for name, df in tables.items() if name != predictions
     }
     if predictions in tables:
-        doomed = lookup_join(tables[images], keys.select(key), [(key, key)], "left_semi")
-        out[predictions] = without_keys(tables[predictions], doomed, image_name)
+        doomed = lookup_join(tables[images], keys.select(key), [(key, key)], "left_semi", small)
+        few = fits_broadcast(tables[images].select(image_name))
+        out[predictions] = without_keys(tables[predictions], doomed, image_name, few)
     return out
 
 
@@ -147,5 +150,5 @@ def link_registration(
         .agg(F.max(id_column).alias("__linked"))
     )
     small = fits_broadcast(registrations.select(reference, id_column))
-    joined = lookup_join(vehicles, latest, [(reference, reference)], "left", small)
+    joined = reduced_join(vehicles, latest, [(reference, reference)], small)
     return joined.withColumn(id_column, F.coalesce("__linked", id_column)).drop("__linked")

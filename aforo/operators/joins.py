@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aforo.session import staged
+
 MAX_LOOKUP_ROWS = 200_000
 MAX_LOOKUP_BYTES = 64 << 20
 
@@ -88,3 +90,12 @@ def lookup_join(
         conditions.append(F.col("__salt") == F.col("__slot"))
     out = fact.join(side, reduce(lambda a, b: a & b, conditions), how)
     return out.drop("__salt", "__slot", *keys.values())
+
+
+def reduced_join(fact: DataFrame, reduced: DataFrame, on: On, small: bool) -> DataFrame:
+    """Left join with a lookup that was aggregated by the join key.
+
+    Adaptive execution splits a hot key only where the join itself asked for both shuffles. That of an
+    aggregate lies below it, so a lookup too large to broadcast is staged and read back first.
+    """
+    return lookup_join(fact, reduced if small else staged(reduced, "lookup"), on, "left", small)

@@ -85,11 +85,11 @@ def only_periods(
 ) -> DataFrame:
     """Facts of the listed periods.
 
-    Periods are the months of dates, which bounds the list by the calendar.
+    Periods are the months of dates; the list is broadcast if its size, which is checked, allows it.
     """
     wanted = periods if trade is None else periods.filter(F.col(TRADE) == F.lit(trade))
     on = [(period, PERIOD)]
-    return lookup_join(facts, wanted.select(PERIOD).distinct(), on, "left_semi", small=True)
+    return lookup_join(facts, wanted.select(PERIOD).distinct(), on, "left_semi")
 
 
 def keep_latest_year(df: DataFrame, year: Column | str) -> DataFrame:

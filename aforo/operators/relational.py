@@ -71,9 +71,10 @@ def sample_head(df: DataFrame, order_key: str | Column, n: int = 100) -> DataFra
 
 
 def typed(c: Column, type_name: str) -> Column:
-    """Text to the type, NULL on failure; integers may be stored as ``5.0``."""
+    """Text to the type, NULL on failure; integers may be stored as ``5.0`` and keep all 64 bits."""
     if type_name in ("int", "integer", "bigint", "long"):
-        return F.round(c.try_cast("double"), 0).try_cast(type_name)
+        rounded = F.round(c.try_cast("decimal(38,10)"), 0).try_cast(type_name)
+        return F.coalesce(c.try_cast(type_name), rounded)
     return c.try_cast(type_name)
 
 

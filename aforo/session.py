@@ -52,9 +52,13 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: the cluster's checkpoint setting.
 
-    Only where nothing is set (tests, a laptop) a temporary folder is made, once per application.
+    Only where nothing is set and all tasks run on this machine (tests, a laptop) a temporary folder is made,
+    once per application; on a cluster a missing setting is an error.
     """
     configured = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
+    master = spark.sparkContext.master
+    if not configured and not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"{CHECKPOINT_KEY} must name a folder that all executors share")
     return (configured or _own_folder(spark.sparkContext.applicationId)).rstrip("/")
 
 
@@ -78,12 +82,3 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Spread a scan that gives fewer tasks than there are cores, before work that is heavy per row.
-
-    A file of one row group is one task however many cores wait. A table with enough splits is left
-    as it is, so nothing is shuffled where there is much to shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -66,8 +66,10 @@ def sanitize_names(names: Sequence[str | None]) -> list[str]:
 
 def read_manifest(spark: SparkSession, path: str) -> list[str]:
     """Column names from a text file, one per line in file order; a few hundred at most."""
-    lines = spark.read.text(path, wholetext=True).first()
-    return sanitize_names(lines["value"].splitlines() if lines else [])
+    files = spark.read.text(path, wholetext=True).take(2)
+    if len(files) > 1:
+        raise ValueError(f"more than one file of names in {path}")
+    return sanitize_names(files[0]["value"].splitlines() if files else [])
 
 
 def apply_manifest(df: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -385,3 +385,71 @@ def test_wide_rows_are_packed_with_the_same_result(spark):
     assert "__row" in plan
     slim = packed.select("o", "d", F.col("`a.b`"), "origen", "destino")
     assert rows(slim) == rows(label_codes(narrow, {"pais": dim}, roles))
+
+
+def _split_joins(df):
+    df.write.format("noop").mode("overwrite").save()
+    executed = df._jdf.queryExecution()
+    executed.executedPlan().executeCollectPublic()
+    return executed.executedPlan().toString()
+
+
+def test_hot_key_is_split_when_the_lookup_was_reduced(spark, tmp_path, monkeypatch):
+    from aforo.operators import events as ev
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    }
+    rows = spark.range(0, 60_000, 1, 6).selectExpr(
+        "id", "if(id % 3 < 2, 'hot', concat('k', id % 500)) as k", "if(id % 3 < 2, 'm', 'n') as m", "cast(null as string) as v"
+    )
+    rows.write.parquet(str(tmp_path / "facts"))
+    lookup = spark.range(0, 3_000, 1, 3).selectExpr(
+        "if(id = 0, 'hot', concat('k', id)) as k", "if(id = 0, 'm', 'n') as m", "cast(id as string) as v"
+    )
+    lookup.write.parquet(str(tmp_path / "lookup"))
+    facts, lookup = spark.read.parquet(str(tmp_path / "facts")), spark.read.parquet(str(tmp_path / "lookup"))
+    before = {k: spark.conf.get(k, None) for k in settings}
+    monkeypatch.setattr(ev, "fits_broadcast", lambda *a, **b: False)
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        made = [
+            ev.authorise(facts.drop("v"), lookup, "k", "m", "v"),
+            ev.with_gate(facts.drop("v"), lookup, "k", "v"),
+            ev.clear_references(facts, lookup, "k", "k"),
+            ev.link_registration(facts, lookup, "v", "k"),
+        ]
+        for df in made:
+            assert "skew=true" in _split_joins(df)
+            assert df.count() == 60_000
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_64_bit_integers_stay_whole(spark):
+    from aforo.functions.keys import integer_text
+    from aforo.operators.relational import typed
+
+    rows = [("9007199254740993", 12345678.0), ("5.0", 10063010.0), ("x", 7.0), ("2.5", 1.5)]
+    got = spark.createDataFrame(rows, "t string, d double").select(
+        typed(F.col("t"), "bigint").alias("n"), integer_text("d").alias("s")
+    )
+    assert [tuple(r) for r in got.collect()] == [(9007199254740993, "12345678"), (5, "10063010"), (None, "7"), (3, "1.5")]
+
+
+def test_shared_folder_needs_a_setting_on_a_cluster():
+    from types import SimpleNamespace
+
+    from aforo.session import shared_folder
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None, applicationId="a")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=context))

@@ -14,7 +14,7 @@ from aforo.operators.joins import lookup_join
 from aforo.operators.labels import Role
 from aforo.plans import price_series as prices
 from aforo.plans import reports
-from aforo.session import spread_small, staged
+from aforo.session import staged
 from workload.rates import CONVERTER_SQL, converter
 from workload.registry import query, rounded, table
 from workload.tables import with_unknown
@@ -47,7 +47,7 @@ EXPORTS = replace(
 
 def declarations(spark, sf):
     """Order lines with part and supplier, written the way declarations are: everything as text."""
-    lines = spread_small(table(spark, sf, "lineitem").drop("l_linestatus", "l_discount"))
+    lines = table(spark, sf, "lineitem").drop("l_linestatus", "l_discount")
     parts = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     suppliers = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
     joined = lines.join(parts, lines.l_partkey == parts.p_partkey).join(
