@@ -15,9 +15,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aforo.llm.common import give_back, id_and_text, pack_ints, pack_strings
+from aforo.llm.common import give_back, id_and_text, pack_ints, pack_strings, tidied
 
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
 SCHEMA = (
     "block long, name long, ids array<long>, sizes binary, vocabulary binary, marks binary, sequence binary, flags array<boolean>"
 )
@@ -90,6 +90,7 @@ def packed(
     ``name`` is a hash of what a block holds.
     """
 
+    @tidied
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 24
         block = _Block()

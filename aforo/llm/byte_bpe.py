@@ -21,10 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aforo.llm.blocks import packed
-from aforo.llm.common import give_back, pack_ints, pack_strings, unpack_ints, unpack_strings
+from aforo.llm.common import give_back, pack_ints, pack_strings, unpack_ints, unpack_strings, tidied
 
 # Text whose distinct words one bucket takes.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 FINE = 1 << 16
 
 ENCODED = "id long, n_tokens long, ids binary, decoded binary"
@@ -54,6 +54,7 @@ def _grouped(marks: bytes, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return placed, bucket[placed]
 
 
+@tidied
 def _requests(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aforo.llm.common import CACHE_WORDS, MIX, id_and_text, mixed
+from aforo.llm.common import CACHE_WORDS, MIX, id_and_text, mixed, tidied
 
 EDITS = 0.15
 MIN_WORDS = 5
@@ -177,6 +177,7 @@ def _confirm(
     return best
 
 
+@tidied
 def _scan(batches: Iterator[pa.RecordBatch], benchmark: Benchmark) -> Iterator[pa.RecordBatch]:
     number, gap = _Numbers(benchmark.vocabulary), np.zeros(benchmark.gap, np.int32)
 

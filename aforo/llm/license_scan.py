@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aforo.llm.common import Staging, give_back, id_and_text
+from aforo.llm.common import Staging, give_back, id_and_text, tidied
 from aforo.operators.joins import lookup_join
 
 LEAST = 0.6
@@ -101,6 +101,7 @@ class Templates:
         return best
 
 
+@tidied
 def _frequencies(batches: Iterator[pa.RecordBatch], vocabulary: set[bytes]) -> Iterator[pa.RecordBatch]:
     counts, documents = Counter(), 0
     for batch in batches:
@@ -113,6 +114,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch], vocabulary: set[bytes]) -> I
     )
 
 
+@tidied
 def _scan(batches: Iterator[pa.RecordBatch], templates: Templates) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [templates.license_of(v.as_py() or b"") or (None, None) for v in batch.column(1)]

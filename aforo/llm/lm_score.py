@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aforo.llm.blocks import packed
-from aforo.llm.common import Staging, give_back, mixed, squeeze, unpack_ints, unpack_strings, unsqueeze
+from aforo.llm.common import Staging, give_back, mixed, squeeze, unpack_ints, unpack_strings, unsqueeze, tidied
 from aforo.llm.elias_fano import File, Monotone, Trie
 
 DISCOUNT = 0.75
@@ -89,6 +89,7 @@ def _ordered(keys: np.ndarray, shard: np.ndarray) -> np.ndarray:
     return np.lexsort((keys, shard))
 
 
+@tidied
 def _ask(batches: Iterator[pa.RecordBatch], shards: int, bigrams: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():

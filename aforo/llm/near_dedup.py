@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aforo.llm.common import Staging, WordHashes, id_and_text, mixed, squeeze, unsqueeze, windows
+from aforo.llm.common import Staging, WordHashes, id_and_text, mixed, squeeze, unsqueeze, windows, tidied
 from aforo.llm.components import components
 from aforo.operators.joins import lookup_join
 
@@ -65,6 +65,7 @@ def _name(elements: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(elements.tobytes())
 
 
+@tidied
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in batches:
@@ -92,6 +93,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+@tidied
 def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         bands = [np.frombuffer(b, np.int64) for b in batch.column(1).to_pylist()]
@@ -102,6 +104,7 @@ def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+@tidied
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The node and packed words of rows whose set is the node's."""
     hashes = WordHashes()
@@ -117,6 +120,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+@tidied
 def _share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
@@ -129,6 +133,7 @@ def _share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+@tidied
 def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     hashes, last = WordHashes(), {}
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aforo.llm.common import CACHE_WORDS, id_and_text
+from aforo.llm.common import CACHE_WORDS, id_and_text, tidied
 
 # Labelled rows that the model is fitted on: those with the least hash of their key.
 SAMPLE = 12_000
@@ -116,6 +116,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.logits(pooled) / self.temperature, -50, 50)))
 
 
+@tidied
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row for the whole task: how often each pair of tokens stood side by side, applied to the index vectors."""
     index, total, cache = index_vectors(), np.zeros((BUCKETS, WIDTH), np.float64), _Tokens()
@@ -129,6 +130,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pydict({"sums": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
 
 
+@tidied
 def _pooled(batches: Iterator[pa.RecordBatch], vectors: np.ndarray) -> Iterator[pa.RecordBatch]:
     cache = _Tokens()
     for batch in batches:
@@ -136,6 +138,7 @@ def _pooled(batches: Iterator[pa.RecordBatch], vectors: np.ndarray) -> Iterator[
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], names=["id", "pooled"])
 
 
+@tidied
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     cache = _Tokens()
     for batch in batches:
@@ -227,6 +230,7 @@ def passing(documents: DataFrame, model: Model | float, text: str = "text") -> D
         return documents.where(F.lit(model >= 0.5))
     fields, column = documents.schema, documents.columns.index(text)
 
+    @tidied
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _Tokens()
         for batch in batches:

@@ -22,11 +22,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aforo.llm.common import Staging, WordHashes, give_back, id_and_text, mixed, squeeze, unsqueeze
+from aforo.llm.common import Staging, WordHashes, give_back, id_and_text, mixed, squeeze, unsqueeze, tidied
 
 WINDOW = 50
 PHRASE = 10
-BLOCK_BYTES = 3 << 20
+BLOCK_BYTES = 2 << 20
 PACKED = "block long, ids array<long>, sizes array<long>, texts array<binary>, raw array<binary>, words binary"
 ROW = pa.schema(
     [
@@ -99,6 +99,7 @@ def _lesser(a, at_a, b, at_b):
     return np.where(first, a, b), np.where(first, at_a, at_b)
 
 
+@tidied
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = TaskContext.get().partitionId() << 24
     ids, sizes, names, raws, texts, total = [], [], [], [], [], 0
@@ -165,6 +166,7 @@ class _Extremes:
         return pa.RecordBatch.from_arrays([pa.array(c) for c in out], names=["block", *names, "least", "most"])
 
 
+@tidied
 def _phrases(batches: Iterator[pa.RecordBatch], window: int, phrase: int) -> Iterator[pa.RecordBatch]:
     rolling, hashes = Rolling(), WordHashes()
     for batch in batches:
@@ -177,6 +179,7 @@ def _phrases(batches: Iterator[pa.RecordBatch], window: int, phrase: int) -> Ite
             yield found.batch(row["block"], "hash")
 
 
+@tidied
 def _copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():

@@ -14,7 +14,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aforo.llm.common import CACHE_WORDS, give_back, id_and_text
+from aforo.llm.common import CACHE_WORDS, give_back, id_and_text, tidied
 
 RANGE = 1024
 
@@ -37,6 +37,7 @@ def lengths(df: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "do
     """The key and ``n_tokens`` of each row's whole text; 0 for a NULL or empty one."""
     compiled = regex.compile(pattern)
 
+    @tidied
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         counts = _Counts(encoding)
