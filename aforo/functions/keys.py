@@ -101,6 +101,10 @@ def drop_undated(df: DataFrame, *date_keys: str) -> DataFrame:
     return df.dropna(subset=list(date_keys))
 
 
+def only_digits(c: Column | str) -> Column:
+    return _col(c).cast("string").rlike("^[0-9]+$")
+
+
 def numeric_aduana(df: DataFrame, code: str) -> DataFrame:
     """Keep rows whose code is written with digits only, so the sentinel -1 goes as well."""
-    return df.filter(F.col(code).cast("string").rlike("^[0-9]+$"))
+    return df.filter(only_digits(code))

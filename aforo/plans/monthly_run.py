@@ -13,23 +13,24 @@ from aforo.operators.series import chart_feed
 from aforo.plans import reports
 from aforo.plans.monthly_load import LoadResult, incremental_load, refresh_reports_if
 from aforo.plans.price_series import price_series
-from aforo.session import staged
+from aforo.session import drop_path, new_path
 from aforo.sinks.files import export_by_country, export_reports, write_country_list
 from aforo.sinks.tables import materialize
 from aforo.sources.files import latest_files, read_manifest, trade_paths
-from aforo.sources.reference import read_dimensions, read_rates
+from aforo.sources.reference import rate_rejects, read_dimensions, read_rates
 from aforo.sources.trade import read_trade_archives
 
-EXPORTED_VIEWS = (
-    "vw_imports_canola_trigo",
-    "vw_imports_canola_report",
-    "vw_exports_canola_trigo",
-)
+EXPORTED_VIEWS = ("vw_imports_canola_trigo", "vw_exports_canola_trigo")
+REPORT_VIEW = "vw_imports_canola_report"
+SPECS = {"imports": reports.IMPORTS, "exports": reports.EXPORTS}
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Where a run reads and writes; ``database`` holds the catalog tables."""
+    """Where a run reads and writes; ``database`` holds the catalog tables.
+
+    With ``strict`` a date key that is no date fails the run instead of being rejected.
+    """
 
     archives: str
     import_names: str
@@ -41,13 +42,18 @@ class Layout:
     database: str = "default"
     sample: bool = False
     decimal_comma: bool = False
+    strict: bool = False
 
     def fact_paths(self) -> dict[str, str]:
-        return {t: f"{self.facts}/{t}" for t in ("imports", "exports")}
+        return {t: f"{self.facts}/{t}" for t in SPECS}
+
+    def rejects(self, name: str) -> str:
+        """Where the rejected values of ``imports``, ``exports`` or ``rates`` are written."""
+        return f"{self.output}/rejects/{name}"
 
 
-def landed_facts(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
-    """The latest year's declarations with keys.
+def land(spark: SparkSession, layout: Layout, folder: str) -> dict[str, DataFrame]:
+    """The latest year's declarations as text, written below ``folder``.
 
     A member of an archive can only be read from its start by one task, so the parsed text is
     staged as Parquet once. The ledger then reads the date key only, and filters on keys do not
@@ -55,16 +61,25 @@ def landed_facts(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     """
     found = latest_files(trade_paths(spark, layout.archives, layout.sample))
     out = {}
-    for table, prefix, spec, names in (
-        ("imports", "Import", reports.IMPORTS, layout.import_names),
-        ("exports", "Export", reports.EXPORTS, layout.export_names),
+    for table, prefix, names in (
+        ("imports", "Import", layout.import_names),
+        ("exports", "Export", layout.export_names),
     ):
         # A zip may hold both kinds; the member name decides.
         landed = read_trade_archives(spark, found, prefix, read_manifest(spark, names))
-        out[table] = reports.derive_keys(staged(landed, f"landed-{table}"), spec)
+        landed.write.parquet(f"{folder}/{table}")
+        out[table] = spark.read.schema(landed.schema).parquet(f"{folder}/{table}")
     return out
 
 
+def write_rejects(spark: SparkSession, layout: Layout, landed: dict[str, DataFrame]) -> None:
+    """Every value of this run's files that the load drops or nulls, in place of the last run's."""
+    rejects = {t: reports.load_rejects(df, SPECS[t]) for t, df in landed.items()}
+    rejects["rates"] = rate_rejects(spark, layout.rates, decimal_comma=layout.decimal_comma)
+    for name, df in rejects.items():
+        df.write.mode("overwrite").parquet(layout.rejects(name))
+
+
 def refresh_reference(
     spark: SparkSession, layout: Layout, as_of: date | None = None
 ) -> tuple[dict[str, DataFrame], DataFrame]:
@@ -100,7 +115,11 @@ def rebuild_reports(
     views = reports.register_report_views(*raws, converter)
     export_reports({name: views[name] for name in EXPORTED_VIEWS}, layout.output)
 
-    report = spark.read.parquet(f"{layout.output}/vw_imports_canola_report")
+    # The report is a part of the view that was just written: no second pass over the cleaned table.
+    view = spark.read.parquet(f"{layout.output}/vw_imports_canola_trigo")
+    export_reports({REPORT_VIEW: reports.imports_report(view, converter)}, layout.output)
+
+    report = spark.read.parquet(f"{layout.output}/{REPORT_VIEW}")
     countries, everything = price_series(report)
     export_by_country(countries, everything, f"{layout.output}/series")
     feed = chart_feed(countries.unionByName(everything), fx.ALL_COUNTRIES)
@@ -115,9 +134,17 @@ def monthly_run(
     """Load what is new or incomplete, then rebuild the reports if anything was loaded.
 
     ``always_rebuild`` is for a run that follows one which failed between loading and reporting.
+    What the load drops or nulls is below ``layout.rejects(...)``; the landed text is removed at the end.
     """
     dims, converter = refresh_reference(spark, layout, as_of)
-    result = incremental_load(spark, layout.fact_paths(), landed_facts(spark, layout))
+    folder = new_path(spark, "landed")
+    try:
+        landed = land(spark, layout, folder)
+        write_rejects(spark, layout, landed)
+        facts = {t: reports.derive_keys(df, SPECS[t], layout.strict) for t, df in landed.items()}
+        result = incremental_load(spark, layout.fact_paths(), facts)
+    finally:
+        drop_path(spark, folder)
     if always_rebuild:
         rebuild_reports(spark, layout, dims, converter)
     else:

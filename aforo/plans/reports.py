@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aforo import fixed_values as fx
@@ -13,7 +13,7 @@ from aforo.functions import amounts, keys, text
 from aforo.operators.classify import ProductClass, classify
 from aforo.operators.labels import EXPORT_ROLES, IMPORT_ROLES, Role, label_codes
 from aforo.operators.rates import with_monthly_rates
-from aforo.operators.relational import enforce_types
+from aforo.operators.relational import enforce_types, typed
 from aforo.sinks.tables import register_views
 
 PRODUCT_CLASSES = (
@@ -48,6 +48,19 @@ class TradeSpec:
     report_excluded_words: Mapping[str, Sequence[str]] = field(default_factory=dict)
     min_value: tuple[str, str, float] | None = None
     classes: tuple[ProductClass, ...] = PRODUCT_CLASSES
+    min_quantity: float = fx.MIN_QUANTITY
+    oil_word: str = fx.OIL_WORD
+    report_class: str = fx.CANOLA_CLASS
+    report_transports: tuple[int, ...] = fx.REPORT_TRANSPORTS
+    report_unit: int = fx.REPORT_UNIT
+    report_min_quantity: float = fx.REPORT_MIN_QUANTITY
+    seed_patterns: tuple[str, ...] = fx.SEED_PATTERNS
+    seed_quantity_below: float = fx.SEED_QUANTITY_BELOW
+
+    def code_types(self) -> dict[str, str]:
+        """Types of the codes without a sentinel; a date key may have more digits than an int holds."""
+        plain = [c for c in self.code_columns if c not in self.sentinels]
+        return {c: "bigint" if c == self.date_key else "int" for c in plain}
 
 
 IMPORTS = TradeSpec(
@@ -93,21 +106,21 @@ EXPORTS = TradeSpec(
 )
 
 
-def derive_keys(landed: DataFrame, spec: TradeSpec) -> DataFrame:
+def derive_keys(landed: DataFrame, spec: TradeSpec, strict: bool = False) -> DataFrame:
     """Landed text to the fact table: ``fecha``, ``period_id``, ``reference_id`` and integer codes.
 
-    Rows without a date key or with one that is no date are dropped; the latter can be had from
-    :func:`undated_rejects`.
+    Rows without a date key or with one that is no date are dropped, or the latter fail the job with
+    ``strict``; :func:`load_rejects` lists them with all other values that the load cannot use.
     """
-    df = landed.withColumn("fecha", keys.parse_ddmmyyyy(spec.date_key, spec.date_first_eight))
+    fecha = keys.parse_ddmmyyyy(spec.date_key, spec.date_first_eight, strict)
+    df = landed.withColumn("fecha", fecha)
     df = keys.drop_undated(df, "fecha").withColumns(
         {
             "period_id": keys.period_id("fecha"),
             "reference_id": keys.reference_id(spec.document, spec.item),
         }
     )
-    codes = {c: "int" for c in spec.code_columns if c not in spec.sentinels}
-    df = enforce_types(keys.fill_codes(df, spec.sentinels), codes)
+    df = enforce_types(keys.fill_codes(df, spec.sentinels), spec.code_types())
     return keys.numeric_aduana(df, spec.numeric_code) if spec.numeric_code else df
 
 
@@ -117,6 +130,46 @@ def undated_rejects(landed: DataFrame, spec: TradeSpec) -> DataFrame:
     return keys.drop_undated(landed, spec.date_key).filter(fecha.isNull())
 
 
+def load_rejects(landed: DataFrame, spec: TradeSpec) -> DataFrame:
+    """Every landed value that the load cannot use: record, column, text, reason, and if its row is dropped.
+
+    A date key that is missing or no date and a customs code without digits drop the row; a code that
+    is no integer and an amount that is no number are NULL in it.
+    """
+
+    def fault(column: str, reason: str, failed: Column, dropped: bool = False) -> Column:
+        return F.when(
+            failed,
+            F.struct(
+                F.lit(column).alias("column_name"),
+                F.col(column).cast("string").alias("raw"),
+                F.lit(reason).alias("reason"),
+                F.lit(dropped).alias("row_dropped"),
+            ),
+        )
+
+    day = F.col(spec.date_key)
+    dated = keys.parse_ddmmyyyy(spec.date_key, spec.date_first_eight).isNotNull()
+    found = [
+        fault(spec.date_key, "missing", day.isNull(), dropped=True),
+        fault(spec.date_key, "no date", day.isNotNull() & ~dated, dropped=True),
+    ]
+    codes = {c: typed(F.col(c), t) for c, t in spec.code_types().items()}
+    codes |= {c: keys.fill_code(c, value) for c, value in spec.sentinels.items()}
+    if spec.numeric_code:
+        digits = keys.only_digits(codes.pop(spec.numeric_code, F.col(spec.numeric_code)))
+        found.append(fault(spec.numeric_code, "no digits", ~F.coalesce(digits, F.lit(False)), dropped=True))
+    for c, value in codes.items():
+        failed = F.col(c).isNotNull() & value.isNull()
+        found.append(fault(c, "no integer", failed & dated if c == spec.date_key else failed))
+    for c in spec.amounts:
+        found.append(fault(c, "no amount", amounts.clean_amount(c).isNull()))
+    return landed.select(
+        keys.reference_id(spec.document, spec.item).alias("reference_id"),
+        F.explode(F.array_compact(F.array(*found))).alias("fault"),
+    ).select("reference_id", "fault.*")
+
+
 def cleaned(facts: DataFrame, dims: Mapping[str, DataFrame], spec: TradeSpec) -> DataFrame:
     """The fact table with clean amounts, labels, month and full description; all columns stay."""
     df = amounts.clean_amounts(facts, list(spec.amounts))
@@ -142,34 +195,43 @@ def exports_raw(exports: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     return cleaned(exports, dims, EXPORTS)
 
 
-def trade_view(raw: DataFrame, spec: TradeSpec, min_quantity: float = fx.MIN_QUANTITY) -> DataFrame:
+def trade_view(
+    raw: DataFrame, spec: TradeSpec, classes: Sequence[str] | None = None
+) -> DataFrame:
     """Classified products without the excluded ones, with trade type and sub-type.
 
     The exclusions are stated after the classification. They only look at columns of the row, so
     Catalyst moves them below its distinct and behind its filter: the class test, which leaves few
-    rows, comes first, and only what passes everything is shuffled.
+    rows, comes first, and only what passes everything is shuffled. ``classes`` names the product
+    classes that are wanted; rows of no other class reach the distinct.
     """
     tariff = keys.normalize_tariff(spec.tariff)
     listed = [c.zfill(8) for c in spec.excluded_tariffs]
-    df = classify(raw, spec.classes, tariff, spec.product, "TIPO")
+    wanted = [c for c in spec.classes if classes is None or c.name in classes]
+    df = classify(raw, wanted, tariff, spec.product, "TIPO")
     df = text.exclude_codes(text.exclude_keywords(df, spec.excluded_words), tariff, listed)
-    df = df.filter(F.col(spec.quantity) > F.lit(min_quantity))
+    df = df.filter(F.col(spec.quantity) > F.lit(spec.min_quantity))
     return df.withColumns(
         {
             "TRADE_TYPE": F.lit(spec.trade),
-            "TIPO2": text.oil_flag(spec.product, fx.OIL_WORD, fx.OIL_TYPE, fx.OTHER_TYPE),
+            "TIPO2": text.oil_flag(spec.product, spec.oil_word, fx.OIL_TYPE, fx.OTHER_TYPE),
         }
     )
 
 
+def report_source(raw: DataFrame, spec: TradeSpec) -> DataFrame:
+    """The part of the trade view that the report looks at: its own product class."""
+    return trade_view(raw, spec, (spec.report_class,))
+
+
 def report_scope(view: DataFrame, spec: TradeSpec) -> DataFrame:
-    """Canola that is no oil, by sea or road, in the report unit and above the report quantity."""
+    """The report class without oil, by the report transports, in its unit and above its quantity."""
     df = view.filter(
-        (F.col("TIPO") == fx.CANOLA_CLASS)
-        & F.col(spec.transport).isin(*fx.REPORT_TRANSPORTS)
+        (F.col("TIPO") == spec.report_class)
+        & F.col(spec.transport).isin(*spec.report_transports)
         & (F.col("TIPO2") != fx.OIL_TYPE)
-        & (F.col(spec.unit) == fx.REPORT_UNIT)
-        & (F.col(spec.quantity) > fx.REPORT_MIN_QUANTITY)
+        & (F.col(spec.unit) == spec.report_unit)
+        & (F.col(spec.quantity) > spec.report_min_quantity)
     )
     words = spec.report_excluded_words
     return text.exclude_keywords(df, words) if words else df
@@ -185,7 +247,7 @@ def trade_report(view: DataFrame, converter: DataFrame, spec: TradeSpec) -> Data
         {
             "currency_code": keys.currency_code("MONEDA", fx.CURRENCY_NUMBERS),
             "is_siembra": text.is_seed(
-                "DESC_COMPLETA", spec.quantity, fx.SEED_PATTERNS, fx.SEED_QUANTITY_BELOW
+                "DESC_COMPLETA", spec.quantity, spec.seed_patterns, spec.seed_quantity_below
             ),
         }
     )
@@ -209,13 +271,11 @@ def report_views(
     imports_raw_table: DataFrame, exports_raw_table: DataFrame, converter: DataFrame
 ) -> dict[str, DataFrame]:
     """The four views by name, from the materialized cleaned tables."""
-    imports_view = trade_view(imports_raw_table, IMPORTS)
-    exports_view = trade_view(exports_raw_table, EXPORTS)
     return {
-        "vw_imports_canola_trigo": imports_view,
-        "vw_exports_canola_trigo": exports_view,
-        "vw_imports_canola_report": imports_report(imports_view, converter),
-        "vw_exports_canola_report": exports_report(exports_view, converter),
+        "vw_imports_canola_trigo": trade_view(imports_raw_table, IMPORTS),
+        "vw_exports_canola_trigo": trade_view(exports_raw_table, EXPORTS),
+        "vw_imports_canola_report": imports_report(report_source(imports_raw_table, IMPORTS), converter),
+        "vw_exports_canola_report": exports_report(report_source(exports_raw_table, EXPORTS), converter),
     }
 
 

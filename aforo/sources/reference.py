@@ -29,19 +29,14 @@ def read_dimensions(
     }
 
 
-def read_rates(
+def _rate_lines(
     spark: SparkSession,
     paths: str | Sequence[str],
-    sep: str = ";",
-    date_format: str = "yyyy-MM-dd",
-    decimal_comma: bool = False,
-    extension: str = "csv",
+    sep: str,
+    date_format: str,
+    decimal_comma: bool,
+    extension: str,
 ) -> DataFrame:
-    """One rate file per currency as (currency_code, currency_date, to_clp).
-
-    The currency comes from the file name ``Indicador_<code>``. Title lines, the header and lines
-    without a date are dropped; a date without a rate stays with NULL.
-    """
     raw = (
         spark.read.schema("day string, rate string")
         .options(sep=sep, header="false", pathGlobFilter=f"Indicador_*.{extension}")
@@ -53,9 +48,41 @@ def read_rates(
         code.alias("currency_code"),
         F.try_to_date(F.trim("day"), date_format).alias("currency_date"),
         F.trim(rate).try_cast("double").alias("to_clp"),
+        F.col("rate").alias("raw"),
     ).filter(F.col("currency_date").isNotNull())
 
 
+def read_rates(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    sep: str = ";",
+    date_format: str = "yyyy-MM-dd",
+    decimal_comma: bool = False,
+    extension: str = "csv",
+) -> DataFrame:
+    """One rate file per currency as (currency_code, currency_date, to_clp).
+
+    The currency comes from the file name ``Indicador_<code>``. Title lines, the header and lines
+    without a date are dropped; a date without a rate stays with NULL, and so does one whose rate is
+    no number, which :func:`rate_rejects` lists.
+    """
+    return _rate_lines(spark, paths, sep, date_format, decimal_comma, extension).drop("raw")
+
+
+def rate_rejects(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    sep: str = ";",
+    date_format: str = "yyyy-MM-dd",
+    decimal_comma: bool = False,
+    extension: str = "csv",
+) -> DataFrame:
+    """Rates that are written but are no number, as (currency_code, currency_date, raw)."""
+    lines = _rate_lines(spark, paths, sep, date_format, decimal_comma, extension)
+    written = F.trim("raw") != ""
+    return lines.filter(written & F.col("to_clp").isNull()).drop("to_clp")
+
+
 # Fields of a package that the flattening needs; resources are open and come from the data unless
 # a schema is given.
 def package_schema(resource: T.StructType) -> T.StructType:

@@ -1,11 +1,13 @@
 import zipfile
 from datetime import date
+from pathlib import Path
 
 import pytest
 from test_plans import EXPORT_ROW, IMPORT_ROW
 
 from aforo import fixed_values as fx
 from aforo.plans.monthly_run import Layout, monthly_run
+from aforo.session import shared_folder
 
 
 def text(value):
@@ -55,9 +57,12 @@ def test_whole_run_twice(spark, layout):
     archive(
         layout,
         "import_2021.zip",
-        [{}, {"NUMITEM": "2", "PA_ORIG": 7}, {"NUMITEM": "3", "FECTRA": "5052021"}],
+        [{}, {"NUMITEM": "2", "PA_ORIG": 7}, {"NUMITEM": "3", "FECTRA": "5052021"},
+         {"NUMITEM": "5", "FECTRA": "99992021"}],
         [{"MONEDA": "13"}],
     )
+    with open(f"{layout.rates}/Indicador_aud.csv", "a") as f:
+        f.write("2021-03-02;5x\n2021-03-03;\n")
     first = monthly_run(spark, layout, date(2021, 4, 1))
     assert first.loaded == {"imports": True, "exports": True}
     assert spark.table("run_test.imports_raw").count() == 3
@@ -68,6 +73,12 @@ def test_whole_run_twice(spark, layout):
     assert got == {("canada", "2021-03-01"): 200, ("peru", "2021-03-01"): 200, ("all", "2021-03-01"): 400}
     price = series.filter("serie = 'peru'").first()
     assert abs(price.precio_fob_cad_quintal - 0.45 * 700 / 560 * 100) < 1e-9
+    rejected = spark.read.parquet(layout.rejects("imports"))
+    assert [(r.reference_id, r.raw, r.reason) for r in rejected.collect()] == [("77-5", "99992021", "no date")]
+    assert spark.read.parquet(layout.rejects("exports")).isEmpty()
+    rates = spark.read.parquet(layout.rejects("rates")).collect()
+    assert [(r.currency_code, str(r.currency_date), r.raw) for r in rates] == [("aud", "2021-03-02", "5x")]
+    assert not list(Path(shared_folder(spark)).glob("landed-*"))
     names = [r.country for r in spark.read.json(f"{layout.output}/imports_countries").collect()]
     assert names == ["all", "canada", "peru"]
     titles = {r.title for r in spark.read.parquet(f"{layout.output}/charts").collect()}

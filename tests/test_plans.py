@@ -1,6 +1,8 @@
+from dataclasses import replace
 from datetime import date
 from decimal import Decimal
 
+import pytest
 from conftest import rows
 
 from aforo import fixed_values as fx
@@ -173,3 +175,72 @@ def test_price_series(spark):
     total = {str(r.fecha_month): (r.pais_nombre_origen, r.cantidad_quintal) for r in everything.collect()}
     assert total == {"2021-03-01": ("TODOS", 300), "2021-04-01": ("TODOS", 0), "2021-05-01": ("TODOS", 100)}
     assert len(rows(everything)) == 3
+
+
+def test_every_row_is_loaded_or_rejected(spark):
+    landed = frame(spark, IMPORT_ROW, [
+        {"NUMITEM": "ok"}, {"NUMITEM": "undated", "FECTRA": None}, {"NUMITEM": "no day", "FECTRA": "31022021"},
+        {"NUMITEM": "amount", "FOB": "1.234.5"},
+    ])
+    rejects = reports.load_rejects(landed, reports.IMPORTS)
+    assert rows(rejects) == [
+        ("77-amount", "FOB", "1.234.5", "no amount", False),
+        ("77-no day", "FECTRA", "31022021", "no date", True),
+        ("77-undated", "FECTRA", None, "missing", True),
+    ]
+    loaded = reports.derive_keys(landed, reports.IMPORTS)
+    assert loaded.count() + rejects.filter("row_dropped").count() == landed.count()
+
+
+def test_export_rejects(spark):
+    landed = frame(spark, EXPORT_ROW, [
+        {"NUMEROITEM": "long", "FECHAACEPT": "3112202199"}, {"NUMEROITEM": "text customs", "ADUANA": "A1"},
+        {"NUMEROITEM": "no customs", "ADUANA": None}, {"NUMEROITEM": "money", "MONEDA": "x"},
+        {"NUMEROITEM": "way", "VIATRANSPORTE": "x"},
+    ])
+    rejects = reports.load_rejects(landed, reports.EXPORTS)
+    assert rows(rejects) == [
+        ("88-money", "MONEDA", "x", "no integer", False),
+        ("88-no customs", "ADUANA", None, "no digits", True),
+        ("88-text customs", "ADUANA", "A1", "no digits", True),
+        ("88-way", "VIATRANSPORTE", "x", "no integer", False),
+    ]
+    facts = reports.derive_keys(landed, reports.EXPORTS)
+    assert facts.count() + rejects.filter("row_dropped").count() == landed.count()
+    # The date takes the first eight digits, the column keeps all ten.
+    long = facts.filter("NUMEROITEM = 'long'").first()
+    assert (long.FECHAACEPT, long.fecha) == (3112202199, date(2021, 12, 31))
+
+
+def test_strict_load_fails_on_a_bad_date(spark):
+    landed = frame(spark, IMPORT_ROW, [{"FECTRA": "31022021"}])
+    with pytest.raises(Exception, match="no date"):
+        reports.derive_keys(landed, reports.IMPORTS, strict=True).collect()
+
+
+def test_report_source_leaves_other_classes_out_before_the_distinct(spark, tmp_path):
+    variants = [{"NUMITEM": "ok"}, {"NUMITEM": "both", "ARANC_NAC": "10019900"},
+                {"NUMITEM": "wheat", "DNOMBRE": "TRIGO", "ARANC_NAC": "10019900"}]
+    imports_raw(spark, variants).write.parquet(f"{tmp_path}/raw")
+    raw = spark.read.parquet(f"{tmp_path}/raw")
+    source = reports.report_source(raw, reports.IMPORTS)
+    whole = reports.trade_view(raw, reports.IMPORTS).filter("TIPO = 'canola'")
+    assert rows(source) == rows(whole) and view_keys(source) == [("both", "canola"), ("ok", "canola")]
+    plan = source._jdf.queryExecution().executedPlan().toString()
+    assert "TRIGO" not in plan
+
+
+def test_rules_are_fields_of_the_spec(spark):
+    spec = replace(
+        reports.IMPORTS, oil_word="HARINA", report_unit=10, report_transports=(4,), report_min_quantity=50,
+        min_quantity=10, seed_patterns=("BROTE",), seed_quantity_below=60, report_class="trigo",
+    )
+    base = {"VIA_TRAN": 4, "MEDIDA": 10, "DNOMBRE": "TRIGO", "ARANC_NAC": "10019900"}
+    variants = [
+        {"NUMITEM": "ok"}, {"NUMITEM": "seed", "DVARIEDAD": "BROTE"}, {"NUMITEM": "few", "CANT_MERC": "59"},
+        {"NUMITEM": "too few", "CANT_MERC": "50"}, {"NUMITEM": "flour", "DNOMBRE": "HARINA DE TRIGO"},
+        {"NUMITEM": "sea", "VIA_TRAN": 1}, {"NUMITEM": "kilos", "MEDIDA": 6},
+    ]
+    raw = imports_raw(spark, [{**base, **v} for v in variants])
+    report = reports.trade_report(reports.report_source(raw, spec), converter(spark), spec)
+    assert {r.NUMITEM: r.is_siembra for r in report.collect()} == {"ok": 0, "seed": 1, "few": 1}

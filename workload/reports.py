@@ -86,6 +86,7 @@ def declarations(spark, sf):
         money.alias("MONEDA"),
         F.col("l_linenumber").alias("VIA_TRAN"),
         F.when(F.col("l_returnflag") == "N", 7).otherwise(6).alias("MEDIDA"),
+        (F.col("l_returnflag") == "R").alias("devuelto"),
         F.when(nation == 4, None).when(nation == 9, 99).otherwise(nation).alias("PA_ORIG"),
         nation.alias("PA_ADQ"),
     )
@@ -159,10 +160,37 @@ def report_rows(df):
 
 
 def imports_report(spark, sf):
-    view = reports.trade_view(raw_table(spark, sf, IMPORTS), IMPORTS)
+    view = reports.report_source(raw_table(spark, sf, IMPORTS), IMPORTS)
     return reports.trade_report(view, rate_table(spark, sf), IMPORTS)
 
 
+@query(
+    "load_rejects",
+    """
+    WITH d AS (SELECT l_orderkey || '-' || l_linenumber AS reference_id, l_linenumber AS n, l_returnflag AS flag,
+      l_quantity AS q FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey)
+    SELECT reference_id, 'FECTRA' AS column_name, NULL AS raw, 'missing' AS reason, 1 AS row_dropped FROM d WHERE n = 6
+    UNION ALL SELECT reference_id, 'FECTRA', '31022021', 'no date', 1 FROM d WHERE n = 7
+    UNION ALL SELECT reference_id, 'MONEDA', 'n/a', 'no integer', 0 FROM d WHERE flag = 'R' AND n < 3
+    UNION ALL SELECT reference_id, 'FOB', '1.234.5', 'no amount', 0 FROM d WHERE q = 13
+    """,
+)
+def load_rejects(spark, sf):
+    """Declarations with bad dates, currencies and amounts: what a load cannot use, value by value."""
+    landed = declarations(spark, sf)
+    line, text = F.col("NUMITEM").cast("int"), F.col("FECTRA").cast("string")
+    landed = landed.withColumns(
+        {
+            "FECTRA": F.when(line == 7, "31022021").when(line != 6, text),
+            "MONEDA": F.when(F.col("devuelto") & (line < 3), "n/a").otherwise(
+                F.col("MONEDA").cast("string")
+            ),
+            "FOB": F.when(F.col("CANT_MERC").cast("double") == 13 * 150, "1.234.5").otherwise(F.col("FOB")),
+        }
+    )
+    return reports.load_rejects(landed, IMPORTS)
+
+
 @query(
     "cleaned_table",
     f"""
@@ -217,7 +245,7 @@ def report_imports(spark, sf):
     """,
 )
 def report_exports(spark, sf):
-    view = reports.trade_view(raw_table(spark, sf, EXPORTS), EXPORTS)
+    view = reports.report_source(raw_table(spark, sf, EXPORTS), EXPORTS)
     return report_rows(reports.trade_report(view, rate_table(spark, sf), EXPORTS))
 
 
