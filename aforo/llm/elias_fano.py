@@ -98,12 +98,19 @@ class Monotone:
         at, stop = self._first(head), self._first(head + 1)
         if begin is not None:
             at, stop = np.maximum(at, begin), np.minimum(stop, end)
+        # Values with equal upper bits are sorted by the lower ones. Many share them where a context has many successors.
         open_ = np.flatnonzero(at < stop)
-        while len(open_):
-            same = self.lower(at[open_]) == tail[open_]
-            out[open_[same]] = at[open_[same]]
-            at[open_] += 1
-            open_ = open_[~same & (at[open_] < stop[open_])]
+        left, right, sought = at[open_], stop[open_], tail[open_]
+        searched = np.arange(len(open_))
+        while len(searched):
+            middle = (left[searched] + right[searched]) >> 1
+            less = self.lower(middle) < sought[searched]
+            left[searched[less]] = middle[less] + 1
+            right[searched[~less]] = middle[~less]
+            searched = searched[left[searched] < right[searched]]
+        inside = np.flatnonzero(left < stop[open_])
+        same = inside[self.lower(left[inside]) == sought[inside]]
+        out[open_[same]] = left[same]
         return out
 
 
