@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -22,14 +22,16 @@ def spread_by(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
-def refresh_table(df: DataFrame, name: str, path: str | None = None) -> None:
+def refresh_table(df: DataFrame, name: str, path: str | None = None, partitions: Sequence[str] = ()) -> None:
     """Replace the whole content of a catalog table that ``df`` does not read.
 
-    ``path`` keeps the files outside the warehouse.
+    ``path`` keeps the files outside the warehouse, ``partitions`` are the table's partition columns.
     """
-    writer = df.write.mode("overwrite").format("parquet")
+    writer = (spread_by(df, *partitions) if partitions else df).write.mode("overwrite").format("parquet")
     if path:
         writer = writer.option("path", path)
+    if partitions:
+        writer = writer.partitionBy(*partitions)
     writer.saveAsTable(name)
 
 
@@ -70,12 +72,23 @@ def delete_from(
 ) -> None:
     """Conditional delete on a catalog table: the remainder is written first, then swapped in.
 
-    If the write fails the table is as it was. ``path`` is a new place for the remainder.
+    The remainder has the table's partition columns. The old table is renamed away and dropped last; if the
+    write or the swap fails the table is as it was. ``path`` is a new place for the remainder. A partitioned table
+    needs one: where a rename moves the folder, some catalogs still hold the partitions at the old place.
     """
-    rest = f"{name}_{uuid.uuid4().hex}"
-    refresh_table(delete_where(spark.table(name), where), rest, path)
-    spark.sql(f"DROP TABLE {name}")
-    spark.sql(f"ALTER TABLE {rest} RENAME TO {name}")
+    mark = uuid.uuid4().hex
+    rest, old = f"{name}_{mark}", f"{name}_{mark}_old"
+    partitions = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    if partitions and not path:
+        raise ValueError(f"{name} is partitioned: give a path for what is left")
+    refresh_table(delete_where(spark.table(name), where), rest, path, partitions)
+    spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {rest} RENAME TO {name}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+        raise
+    spark.sql(f"DROP TABLE {old}")
 
 
 def register_views(views: Mapping[str, DataFrame]) -> None:

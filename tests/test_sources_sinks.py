@@ -128,6 +128,20 @@ def test_catalog_tables(spark):
     spark.sql("DROP TABLE facts_raw")
 
 
+def test_delete_keeps_partitions(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a", True), (2, "b", None), (3, "b", False), (4, "c", True)], "k int, p string, f boolean")
+    table_sinks.refresh_table(df, "facts_parted", partitions=["p"])
+    with pytest.raises(ValueError, match="partitioned"):
+        table_sinks.delete_from(spark, "facts_parted", "f")
+    assert spark.table("facts_parted").count() == 4
+    table_sinks.delete_from(spark, "facts_parted", "f", str(tmp_path / "rest"))
+    assert rows(spark.table("facts_parted").select("k", "p")) == [(2, "b"), (3, "b")]
+    assert [c.name for c in spark.catalog.listColumns("facts_parted") if c.isPartition] == ["p"]
+    assert [r.partition for r in spark.sql("SHOW PARTITIONS facts_parted").collect()] == ["p=b"]
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("facts_parted_")]
+    spark.sql("DROP TABLE facts_parted")
+
+
 def test_file_sinks(spark, tmp_path):
     df = spark.createDataFrame(
         [("CANADA", 1, None), ("PERU", 2, "x;y")], "pais_nombre_origen string, n int, t string"

@@ -39,33 +39,28 @@ CLEAN_SQL = r"""
 @query(
     "amount_clean",
     f"""
-    WITH t AS (SELECT l_returnflag, l_linestatus, {AMOUNT_TEXT_SQL} AS amount FROM lineitem),
+    WITH t AS (SELECT l_orderkey, l_linenumber, l_partkey, {AMOUNT_TEXT_SQL} AS amount FROM lineitem),
     c AS (SELECT *, {CLEAN_SQL} AS amount_mod FROM t)
-    SELECT l_returnflag, l_linestatus, CAST(sum(amount_mod) AS DOUBLE) AS total,
-      count(amount_mod) AS kept, count(*) AS lines
-    FROM c GROUP BY ALL
+    SELECT l_orderkey, l_linenumber, l_partkey, CAST(amount_mod AS DOUBLE) AS amount_mod FROM c
     """,
 )
 def amount_clean(spark, sf):
     df = amounts.clean_amounts(amount_lines(spark, sf), ["amount"], "_mod")
-    return df.groupBy("l_returnflag", "l_linestatus").agg(
-        F.sum("amount_mod").alias("total"),
-        F.count("amount_mod").alias("kept"),
-        F.count("*").alias("lines"),
-    )
+    return df.select("l_orderkey", "l_linenumber", "l_partkey", "amount_mod")
 
 
 @query(
     "amount_unsigned",
     f"""
-    WITH t AS (SELECT l_returnflag, {AMOUNT_TEXT_SQL} AS amount FROM lineitem)
-    SELECT l_returnflag, CAST(sum({CLEAN_SQL.replace(chr(92) + '-', '')}) AS DOUBLE) AS total
-    FROM t GROUP BY ALL
+    WITH t AS (SELECT l_orderkey, l_linenumber, l_partkey, {AMOUNT_TEXT_SQL} AS amount FROM lineitem)
+    SELECT l_orderkey, l_linenumber, l_partkey,
+      CAST({CLEAN_SQL.replace(chr(92) + '-', '')} AS DOUBLE) AS amount_mod
+    FROM t
     """,
 )
 def amount_unsigned(spark, sf):
     df = amounts.clean_amounts(amount_lines(spark, sf), ["amount"], "_mod", keep_sign=False)
-    return df.groupBy("l_returnflag").agg(F.sum("amount_mod").alias("total"))
+    return df.select("l_orderkey", "l_linenumber", "l_partkey", "amount_mod")
 
 
 @query(
@@ -167,15 +162,14 @@ def undated_dropped(spark, sf):
 @query(
     "numeric_customs",
     """
-    SELECT l_linenumber AS aduana, count(*) AS rows FROM lineitem
-    WHERE l_linenumber NOT IN (2, 3) GROUP BY ALL
+    SELECT l_orderkey, l_partkey, l_linenumber AS aduana FROM lineitem WHERE l_linenumber NOT IN (2, 3)
     """,
 )
 def numeric_customs(spark, sf):
     line = F.col("l_linenumber")
     code = F.when(line == 2, F.lit("A2")).when(line != 3, line.cast("string"))
     df = keys.fill_codes(table(spark, sf, "lineitem").withColumn("aduana", code), {"aduana": -1})
-    return keys.numeric_aduana(df, "aduana").groupBy("aduana").agg(F.count("*").alias("rows"))
+    return keys.numeric_aduana(df, "aduana").select("l_orderkey", "l_partkey", "aduana")
 
 
 @query(
@@ -235,17 +229,16 @@ def unit_price(spark, sf):
 @query(
     "currency_codes",
     """
-    SELECT CASE l_linenumber WHEN 1 THEN 'cad' WHEN 2 THEN 'usd' WHEN 3 THEN 'aud' WHEN 4 THEN 'eur'
-      WHEN 5 THEN 'clp' ELSE 'other' END AS currency_code, count(*) AS rows
-    FROM lineitem GROUP BY ALL
+    SELECT l_orderkey, l_linenumber, l_partkey, CASE l_linenumber WHEN 1 THEN 'cad' WHEN 2 THEN 'usd'
+      WHEN 3 THEN 'aud' WHEN 4 THEN 'eur' WHEN 5 THEN 'clp' ELSE 'other' END AS currency_code
+    FROM lineitem
     """,
 )
 def currency_codes(spark, sf):
     codes = {1: "cad", 2: "usd", 3: "aud", 4: "eur", 5: "clp"}
-    df = table(spark, sf, "lineitem").select(
-        keys.currency_code("l_linenumber", codes).alias("currency_code")
+    return table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", keys.currency_code("l_linenumber", codes).alias("currency_code")
     )
-    return df.groupBy("currency_code").agg(F.count("*").alias("rows"))
 
 
 @query(
@@ -266,15 +259,13 @@ def seed_flag(spark, sf):
 @query(
     "oil_flag",
     """
-    SELECT CASE WHEN upper(p_name) LIKE '%RING%' THEN 'aceite' ELSE 'otro' END AS tipo2,
-      count(*) AS rows
-    FROM (SELECT nullif(p_name, 'red ring') AS p_name FROM part) GROUP BY ALL
+    SELECT p_partkey, CASE WHEN upper(p_name) LIKE '%RING%' THEN 'aceite' ELSE 'otro' END AS tipo2
+    FROM (SELECT p_partkey, nullif(p_name, 'red ring') AS p_name FROM part)
     """,
 )
 def oil_flag(spark, sf):
     flag = text.oil_flag(F.nullif("p_name", F.lit("red ring")), "RING", "aceite", "otro")
-    df = table(spark, sf, "part").select(flag.alias("tipo2"))
-    return df.groupBy("tipo2").agg(F.count("*").alias("rows"))
+    return table(spark, sf, "part").select("p_partkey", flag.alias("tipo2"))
 
 
 @query(

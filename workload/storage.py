@@ -270,12 +270,12 @@ def table_refresh(spark, sf):
     """,
 )
 def table_delete(spark, sf):
-    """K-04 on a catalog table: a NULL in the predicate keeps its row."""
+    """K-04 on a partitioned catalog table: a NULL in the predicate keeps its row."""
     customers = table(spark, sf, "customer").select(
         "c_custkey", F.nullif("c_mktsegment", F.lit("MACHINERY")).alias("segment")
     )
     name = new_table("customer_copy")
-    table_sinks.refresh_table(customers, name, new_path(spark, "customer-copy"))
+    table_sinks.refresh_table(customers, name, new_path(spark, "customer-copy"), ["segment"])
     table_sinks.delete_from(spark, name, "segment = 'BUILDING'", new_path(spark, "customer-rest"))
     return spark.table(name)
 
