@@ -262,6 +262,15 @@ def test_trie():
         assert trie.codes_of(sought).tolist() == [known.get(int(k), 0) for k in sought]
 
 
+def test_trie_with_one_hot_context():
+    hot = (np.uint64(7) << np.uint64(32)) | (np.arange(20_000, dtype=np.uint64) * np.uint64(3))
+    rare = np.arange(100, 400, dtype=np.uint64) << np.uint64(32)
+    keys = np.r_[hot, rare]
+    trie = Trie(keys, np.arange(1, len(keys) + 1).astype(np.uint16))
+    assert trie.codes_of(keys).tolist() == list(range(1, len(keys) + 1))
+    assert not trie.codes_of(np.r_[hot + np.uint64(1), rare + np.uint64(1)]).any()
+
+
 # 8 byte-level BPE
 
 
