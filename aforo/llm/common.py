@@ -67,6 +67,11 @@ def id_and_text(df: DataFrame, key: str, text: str, *more: Column) -> DataFrame:
     )
 
 
+def text_md5(text: str) -> Column:
+    """Digest that tells texts under a repeated or NULL key apart."""
+    return F.md5(F.col(f"`{text}`").cast("binary"))
+
+
 class WordHashes(dict):
     """Word -> 64-bit hash, kept for the words met lately so that memory stays bounded."""
 

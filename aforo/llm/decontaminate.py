@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aforo.llm.common import CACHE_WORDS, MIX, id_and_text, mixed, tidied
+from aforo.llm.common import CACHE_WORDS, MIX, id_and_text, mixed, text_md5, tidied
 
 EDITS = 0.15
 MIN_WORDS = 5
@@ -29,7 +29,7 @@ DRAWN = 3
 # Benchmark text that one scan of the documents carries; a larger benchmark is scanned for in slices.
 SLICE_BYTES = 16 << 20
 TRIM = bytes(i for i in range(128) if not chr(i).isalnum())
-FOUND = "doc_id long, item_id long, distance int, at_word long"
+FOUND = "doc_id long, item_id long, distance int, at_word long, text_md5 string"
 
 
 def words_of(raw: bytes | None) -> list[bytes]:
@@ -181,7 +181,7 @@ def _confirm(
 def _scan(batches: Iterator[pa.RecordBatch], benchmark: Benchmark) -> Iterator[pa.RecordBatch]:
     number, gap = _Numbers(benchmark.vocabulary), np.zeros(benchmark.gap, np.int32)
 
-    def scanned(keys: list, parts: list[np.ndarray]) -> pa.RecordBatch:
+    def scanned(keys: list[tuple], parts: list[np.ndarray]) -> pa.RecordBatch:
         lengths = np.array([len(p) for p in parts])
         firsts = np.cumsum(lengths + len(gap)) - lengths - len(gap)
         sequence = np.concatenate([x for p in parts for x in (p, gap)])
@@ -196,25 +196,32 @@ def _scan(batches: Iterator[pa.RecordBatch], benchmark: Benchmark) -> Iterator[p
         starts, items = np.concatenate(pairs[0]), np.concatenate(pairs[1])
         starts, items = np.unique(np.stack([starts, items]), axis=1)
         document = np.searchsorted(firsts, starts, "right") - 1
-        out = {"doc_id": [], "item_id": [], "distance": [], "at_word": []}
+        out = {"doc_id": [], "item_id": [], "distance": [], "at_word": [], "text_md5": []}
         near: dict[tuple[int, int], list[int]] = {}
         for d, item, at in zip(document.tolist(), items.tolist(), starts.tolist()):
             near.setdefault((d, item), []).append(at)
         for (d, item), ats in near.items():
             end = int(firsts[d] + lengths[d])
             if best := _confirm(benchmark, sequence, int(firsts[d]), end, item, ats):
-                for column, value in zip(out.values(), (keys[d], benchmark.ids[item], *best)):
+                for column, value in zip(out.values(), (keys[d][0], benchmark.ids[item], *best, keys[d][1])):
                     column.append(value)
         return pa.RecordBatch.from_pydict(
             out,
             schema=pa.schema(
-                [("doc_id", pa.int64()), ("item_id", pa.int64()), ("distance", pa.int32()), ("at_word", pa.int64())]
+                [
+                    ("doc_id", pa.int64()),
+                    ("item_id", pa.int64()),
+                    ("distance", pa.int32()),
+                    ("at_word", pa.int64()),
+                    ("text_md5", pa.string()),
+                ]
             ),
         )
 
     for batch in batches:
         keys, parts, size = [], [], 0
-        for key, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+        keyed = zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())
+        for key, value in zip(keyed, batch.column(1)):
             words = (value.as_py() or b"").lower().split()
             numbers = np.fromiter(map(number.__getitem__, words), np.int32, len(words))
             keys.append(key), parts.append(numbers[numbers >= 0])
@@ -236,20 +243,22 @@ def leaks(
     edits: float = EDITS,
     min_words: int = MIN_WORDS,
     slice_bytes: int = SLICE_BYTES,
+    digest: bool = False,
 ) -> DataFrame:
     """(doc_id, item_id, distance, at_word) of every item that a document holds within ``edits`` times its words.
 
     ``distance`` is the least edit distance in words to any passage of the document and ``at_word`` about where
     it starts. Words are compared without case (A-Z) and punctuation at their ends. Items of fewer than
     ``min_words`` words are no evidence and match nothing. NULL or empty texts hold nothing; items with a NULL
-    key are left out, documents with one are reported with it. Equal rows are each reported.
+    key are left out, documents with one are reported with it. Equal rows are each reported. ``digest`` adds
+    ``text_md5`` of the document, which tells documents with equal or NULL keys apart.
 
     The items are sent to all tasks in slices of at most ``slice_bytes`` (one item at least), each with a scan of its own.
     """
     rows = id_and_text(items, item_key, item_text).where("id IS NOT NULL AND text IS NOT NULL")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slices = total // slice_bytes + 1
-    source, out = id_and_text(documents, key, text), None
+    source, out = id_and_text(documents, key, text, text_md5(text).alias("text_md5")), None
     for n in range(slices):
         part = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(slices)) == n).orderBy("id", "text")
         benchmark = Benchmark(((r.id, bytes(r.text)) for r in part.toLocalIterator()), edits, min_words)
@@ -258,4 +267,5 @@ def leaks(
             out = found if out is None else out.unionByName(found)
     if out is None:
         out = source.sparkSession.createDataFrame([], FOUND)
-    return out.withColumnRenamed("doc_id", key).withColumnRenamed("item_id", item_key)
+    out = out.withColumnRenamed("doc_id", key).withColumnRenamed("item_id", item_key)
+    return out if digest else out.drop("text_md5")

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aforo.llm.common import Staging, WordHashes, id_and_text, mixed, squeeze, unsqueeze, windows, tidied
+from aforo.llm.common import Staging, WordHashes, id_and_text, mixed, squeeze, text_md5, tidied, unsqueeze, windows
 from aforo.llm.components import components
 from aforo.operators.joins import lookup_join
 
@@ -34,7 +34,7 @@ SLOT = 1024
 PARTNERS = 4
 VALUE = np.uint64((1 << 54) - 1)
 EMPTY = np.uint64((1 << 64) - 1)
-SIGNED = "id long, n long, node binary, bands binary, sketch binary"
+SIGNED = "id long, n long, node binary, bands binary, sketch binary, text_md5 string"
 
 
 def shingles(raw: bytes | None, hashes: WordHashes, size: int = WORDS) -> np.ndarray:
@@ -88,8 +88,9 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(nodes, pa.binary()),
                 pa.array(bands, pa.binary()),
                 pa.array(sketches, pa.binary()),
+                batch.column(2),
             ],
-            names=["id", "n", "node", "bands", "sketch"],
+            names=["id", "n", "node", "bands", "sketch", "text_md5"],
         )
 
 
@@ -242,25 +243,26 @@ class NearDuplicates:
 
     def __init__(self, df: DataFrame, key: str, text: str, percent: int):
         self.stage, self.percent = Staging(df.sparkSession, "near"), percent
-        source = id_and_text(df, key, text)
+        source = id_and_text(df, key, text, text_md5(text).alias("text_md5"))
         signed = self.stage.table(source.mapInArrow(_sign, SIGNED), "signed")
-        self.documents = signed.select("id", "n", "node")
+        self.documents = signed.select("id", "n", "node", "text_md5")
+        # The first row of a node: the least key, NULL last, then the least digest.
+        row = F.struct(F.col("id").isNull().alias("none"), "id", "text_md5")
         self.nodes = self.stage.table(
             signed.where("node IS NOT NULL")
             .groupBy("node")
-            .agg(F.min("id").alias("least"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")),
+            .agg(F.min(row).alias("least"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")),
             "nodes",
         )
         self.members = self.stage.table(self._members(), "members")
         asked = self.members.select("node").distinct()
         asked = self.stage.table(self.nodes.join(asked, "node", "left_semi").select("node", "least", "sketch"), "asked")
         self.sketches = asked.select("node", "sketch")
-        wanted = asked.select("node", F.col("least").alias("wanted"))
-        # A NULL key is looked for as well, in rows whose set is the node's.
+        # By key and digest, so that neither a repeated nor a NULL key brings its rows together with all nodes it has.
         rows = lookup_join(
             source.withColumn("k", F.struct("id")),
-            wanted.withColumn("wanted", F.struct(F.col("wanted").alias("id"))),
-            [("k", "wanted")],
+            asked.select("node", F.struct("least.id").alias("wanted"), F.col("least.text_md5").alias("digest")),
+            [("k", "wanted"), ("text_md5", "digest")],
             "inner",
         )
         self.texts = self.stage.table(
@@ -317,28 +319,42 @@ class NearDuplicates:
             tried, most = tried.unionByName(found), most * 8
 
 
-def near_duplicates(
-    df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT
-) -> DataFrame:
-    """Per row of ``df``: the key, ``n_shingles``, ``component_id`` (the least key it is linked to, over any number of
-    links) and ``kept`` (the row has that key).
+def groups(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """The columns of ``near_duplicates``, ``text_md5`` of the input text and ``first``.
 
-    Words are separated by ASCII white space and A-Z lower-cased; sets hold runs of five words. Two sets link
-    when 100 * intersection >= ``percent`` * union. A NULL or empty text has no shingles and no links. Equal rows
-    get equal results; a NULL key is greater than all others. Other columns are not read.
+    ``first`` holds for the least (key, digest) of each group, a NULL key last, and for rows without shingles. Rows
+    of a repeated key and of NULL keys are told apart by their texts, so only rows equal in both are first together.
     """
     near = NearDuplicates(df, key, text, percent)
     labels = near.labels()
     nodes = near.nodes.select("node", "least")
     parts = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    least = near.stage.table(parts.groupBy("label").agg(F.min("least").alias("component_id")), "least")
-    named = near.stage.table(parts.join(least, "label").select("node", "component_id"), "named")
-    out = near.documents.join(named, "node", "left").withColumn("component_id", F.coalesce("component_id", "id"))
+    least = near.stage.table(parts.groupBy("label").agg(F.min("least").alias("of")), "least")
+    named = near.stage.table(parts.join(least, "label").select("node", "of"), "named")
+    out = near.documents.join(named, "node", "left")
+    alone = F.col("node").isNull()
+    out = out.withColumn("component_id", F.when(alone, F.col("id")).otherwise(F.col("of.id")))
+    kept = F.col("id").eqNullSafe(F.col("component_id"))
     return near.stage.result(
         out.select(
             F.col("id").alias(key),
             F.col("n").alias("n_shingles"),
             "component_id",
-            F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
+            kept.alias("kept"),
+            "text_md5",
+            (alone | (kept & (F.col("text_md5") == F.col("of.text_md5")))).alias("first"),
         )
     )
+
+
+def near_duplicates(
+    df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT
+) -> DataFrame:
+    """Per row of ``df``: the key, ``n_shingles``, ``component_id`` (the least key it is linked to, over any number of
+    links) and ``kept`` (the row has that key).
+
+    Words are separated by ASCII white space and A-Z lower-cased; sets hold runs of five words. Two sets link
+    when 100 * intersection >= ``percent`` * union. A NULL or empty text has no shingles and no links. Equal rows
+    get equal results; a NULL key is greater than all others. Other columns are not read.
+    """
+    return groups(df, key, text, percent).drop("text_md5", "first")

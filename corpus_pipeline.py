@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aforo.llm import byte_bpe, decontaminate, near_dedup, quality_classifier, substring_dedup
-from aforo.llm.common import Staging
+from aforo.llm.common import Staging, text_md5
 from aforo.llm.queries import quality_model
 from aforo.operators.joins import lookup_join
 
@@ -26,9 +26,14 @@ def _key() -> Column:
     return F.struct(F.col(ID).cast("long").alias("id"))
 
 
-def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    keys = keys.select(_key().alias("gone")).distinct()
-    return lookup_join(docs, Staging(docs.sparkSession, "gone").table(keys, "keys"), [(_key(), "gone")], "left_anti")
+def _on(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """Semi or anti join with staged (gone, text_md5): a key alone may be NULL or repeated over different texts."""
+    return lookup_join(docs, rows, [(_key(), "gone"), (text_md5(TEXT), "text_md5")], how)
+
+
+def _without(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    rows = rows.select(_key().alias("gone"), "text_md5").distinct()
+    return _on(docs, Staging(docs.sparkSession, "gone").table(rows, "rows"), "left_anti")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,8 +42,20 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least key of every group of near-duplicates."""
-    return _without(docs, near_dedup.near_duplicates(docs, ID, TEXT).where("NOT kept"))
+    """One document of every group of near-duplicates: that of the least key, NULL last, then of the least digest.
+
+    Documents without words are in no group and all stay.
+    """
+    judged = near_dedup.groups(docs, ID, TEXT)
+    out = _without(docs, judged.where("NOT first"))
+    # Rows equal in key and text are first together; of them the least by the other columns stays.
+    first = judged.where("first AND n_shingles > 0").groupBy(_key().alias("gone"), "text_md5").count()
+    equal = Staging(spark, "equal").table(first.where("count > 1").select("gone", "text_md5"), "rows")
+    if equal.isEmpty():
+        return out
+    columns = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    least = _on(out, equal, "left_semi").groupBy(_key().alias("__key"), text_md5(TEXT).alias("__text")).agg(F.min(columns).alias("__row"))
+    return _on(out, equal, "left_anti").unionByName(least.select("__row.*"))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +63,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     judged = substring_dedup.repeated_passages(docs, ID, TEXT).where("n_removed > 0")
     changed = judged.select(_key().alias("changed"), "text_md5", F.col("kept").cast("string").alias("__kept"))
     changed = Staging(spark, "changed").table(changed.dropDuplicates(["changed", "text_md5"]), "texts")
-    joined = lookup_join(docs, changed, [(_key(), "changed"), (F.md5(F.col(TEXT).cast("binary")), "text_md5")], "left")
+    joined = lookup_join(docs, changed, [(_key(), "changed"), (text_md5(TEXT), "text_md5")], "left")
     return joined.select(
         *[
             F.coalesce("__kept", TEXT).alias(TEXT)
@@ -62,7 +79,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _without(docs, decontaminate.leaks(docs, benchmark, ID, TEXT))
+    return _without(docs, decontaminate.leaks(docs, benchmark, ID, TEXT, digest=True))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

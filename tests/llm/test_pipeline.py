@@ -1,4 +1,5 @@
 import hashlib
+from collections import Counter
 
 import tiktoken
 from compare import compare, connect
@@ -51,3 +52,34 @@ def test_stages(spark, documents, tmp_path):
     docs = documents(EDGE)
     for _, stage in corpus_pipeline.STAGES[1:4]:
         assert stage(spark, docs, str(tmp_path)).columns == docs.columns
+
+
+def one_of_each_group(rows):
+    """The least row of every group of near-duplicates by (key, NULL last, digest of the text); rows without words stay."""
+    sets = []
+    for _, text in rows:
+        w = (text or "").lower().encode().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    part = list(range(len(rows)))
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            if x and y and 100 * len(x & y) >= 75 * len(x | y):
+                part = [part[j] if p == part[i] else p for p in part]
+    groups = {}
+    for (key, text), p in zip(rows, part):
+        groups.setdefault(p, []).append((key is None, key or 0, hashlib.md5((text or "").encode()).hexdigest(), key, text))
+    return Counter(min(g)[3:] for g in groups.values())
+
+
+def test_rows_kept_under_null_and_repeated_keys(spark, documents, tmp_path):
+    """A key says nothing of the other rows that have it: what stays equals brute force row by row."""
+    item, shared, pair = prose(910, 20, 9000), prose(911, 80, 9000), prose(912, 80, 9000)
+    rows = EDGE + [(None, EDGE[0][1] + " more"), (None, shared), (None, shared + " more"), (None, shared)]
+    rows += [(20, pair), (20, pair + " more"), (21, EDGE[0][1]), (21, prose(913, 80, 9000))]
+    rows += [(22, f"{prose(914, 60, 9000)} {item}"), (22, prose(915, 60, 9000))]
+    rows += [(None, f"{prose(916, 60, 9000)} {item}"), (None, prose(917, 60, 9000))]
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = documents(rows)
+    kept = lambda stage: Counter((r.doc_id, r.text) for r in stage(spark, docs, str(tmp_path)).collect())
+    assert kept(corpus_pipeline.near_duplicates) == one_of_each_group(rows)
+    assert kept(corpus_pipeline.decontamination) == Counter(x for x in rows if item not in (x[1] or ""))
