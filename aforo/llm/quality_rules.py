@@ -1,7 +1,8 @@
 """Quality rules by distribution divergence, in Spark's own functions only.
 
 A document's histogram of character classes and its histogram of common words are compared with references of its
-language by Jensen-Shannon distance. References are sums over all documents of the language that pass the base rules.
+language by Jensen-Shannon distance. References are sums over all documents of the language that pass the base rules,
+for every language that the table holds. Common words are fixed for four languages and counted for the others.
 Short texts say too little about their distribution and are guarded by least lengths.
 """
 
@@ -10,12 +11,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aforo.llm.common import Staging
+from aforo.operators.joins import lookup_join
 
-# Frequent words of each language.
+# Frequent words of some languages.
 COMMON_WORDS = {
     "de": ["der", "die", "und", "in", "den", "von", "zu", "das", "mit", "ist"],
     "en": ["the", "of", "and", "to", "in", "a", "is", "that", "for", "it"],
@@ -23,6 +25,8 @@ COMMON_WORDS = {
     "fr": ["de", "la", "le", "et", "les", "des", "en", "un", "du", "que"],
 }
 VOCABULARY = sorted({w for words in COMMON_WORDS.values() for w in words})
+# Of a language without a fixed list, so many of its most frequent words.
+OWN_WORDS = 10
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 # White space between words, as a pattern and as characters.
 GAPS = r"[\x20\x09-\x0D]+"
@@ -85,7 +89,10 @@ def repeated_words(words: Column) -> Column:
 
 
 def measured(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """Per row: the counts that the rules use, with ``classes`` and ``common`` as arrays of counts."""
+    """Per row: the counts that the rules use, with ``classes`` and ``common`` as arrays of counts.
+
+    ``own`` are the lower-cased words where the language has no fixed list of common ones, else NULL.
+    """
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     rows = df.select(F.col(f"`{key}`").alias(key), F.col(f"`{lang}`").alias("lang"), body.alias("t"))
     rows = rows.select(
@@ -114,56 +121,70 @@ def measured(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
         repeated_words(F.col("words")).alias("n_repeat_words"),
         F.array(F.col("chars") - F.length(rest), *known.values(), F.length(rest) - sum(known.values())).cast("array<long>").alias("classes"),
         let(common, lambda i: F.array(*counted(i)).cast("array<long>")).alias("common"),
+        F.when(~F.col("lang").isin(*COMMON_WORDS), F.transform("words", F.lower)).alias("own"),
     )
 
 
-def _distance(counts: Column, reference: list[int]) -> Column:
-    """Jensen-Shannon distance of an array of counts to a reference; NULL where either is empty."""
-    whole = float(sum(reference))
-    if not whole:
-        return F.lit(None).cast("double")
+def _distance(counts: Column, reference: Column | list[int]) -> Column:
+    """Jensen-Shannon distance of an array of counts to a reference; NULL where either is empty or missing."""
+    if isinstance(reference, list):
+        reference = F.array(*[F.lit(n) for n in reference]).cast("array<long>")
     part = lambda p, m: F.when(p > 0, p * F.log(p / m)).otherwise(F.lit(0.0))
     both = lambda p, q: part(p, (p + q) / 2) + part(q, (p + q) / 2)
-    total = F.aggregate(counts, F.lit(0).cast("long"), lambda a, n: a + n)
-    shares = let(total, lambda t: F.transform(counts, lambda n: n / F.when(t > 0, t)))
-    terms = F.zip_with(shares, F.array(*[F.lit(n / whole) for n in reference]), both)
-    return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda a, x: a + x) / 2))
+    total = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, n: a + n)
+    shares = lambda c: let(total(c), lambda t: F.transform(c, lambda n: n / t))
+    terms = F.zip_with(shares(counts), shares(reference), both)
+    distance = F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda a, x: a + x) / 2))
+    return F.when((total(counts) > 0) & (total(reference) > 0), distance)
+
+
+def _own_words(sound: DataFrame) -> DataFrame:
+    """(own_lang, top): of each language without a fixed list its most frequent words that have a letter."""
+    words = sound.where("own IS NOT NULL").select("lang", F.explode("own").alias("word")).where(F.col("word").rlike(r"\p{L}"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "word"))
+    first = words.groupBy("lang", "word").count().withColumn("place", place).where(F.col("place") <= OWN_WORDS)
+    return first.groupBy(F.col("lang").alias("own_lang")).agg(F.sort_array(F.collect_list("word")).alias("top"))
+
+
+def _with_histogram(rows: DataFrame, stage: Staging) -> DataFrame:
+    """``histogram`` for ``own``: counts by common word of the row's language with all other words as the last."""
+    fixed = lambda words: F.array(*[F.get("common", F.lit(VOCABULARY.index(w))) for w in words])
+    counts = reduce(lambda c, n: c.when(F.col("lang") == n, fixed(COMMON_WORDS[n])), COMMON_WORDS, F)
+    if not rows.where("own IS NOT NULL").isEmpty():
+        top = stage.table(_own_words(rows.where("NOT base_failed")), "words")
+        rows = lookup_join(rows, top, [("lang", "own_lang")], "left")
+        of = lambda w: (F.size("own") - F.size(F.array_remove("own", w))).cast("long")
+        counts = counts.otherwise(F.transform("top", of))
+    rest = lambda n: F.col("n_words") - F.aggregate(n, F.lit(0).cast("long"), lambda a, x: a + x)
+    made = let(counts, lambda n: F.concat(n, F.array(rest(n))))
+    return rows.withColumn("histogram", made).drop("own", "common", "top")
+
+
+def _references(rows: DataFrame) -> DataFrame:
+    """(ref_lang, ref_classes, ref_histogram): sums of both histograms by language; a row without one has no reference."""
+    most = max(OWN_WORDS, *map(len, COMMON_WORDS.values())) + 1
+    # A shorter list of words has NULL sums at its end.
+    summed = lambda c, n: F.array_compact(F.array(*[F.sum(F.get(c, F.lit(i))) for i in range(n)]))
+    return (
+        rows.where("lang IS NOT NULL")
+        .groupBy(F.col("lang").alias("ref_lang"))
+        .agg(summed("classes", len(CLASSES)).alias("ref_classes"), summed("histogram", most).alias("ref_histogram"))
+    )
 
 
-def _histograms(lang: str) -> tuple[Column, Column]:
-    """Counts by character class, and by common word of the language with all other words as the last."""
-    words = F.transform(F.array(*[F.lit(VOCABULARY.index(w)) for w in COMMON_WORDS[lang]]), lambda i: F.get("common", i))
-    rest = lambda n: F.col("n_words") - F.aggregate(n, F.lit(0).cast("long"), lambda a, x: a + x)
-    return F.col("classes"), let(words, lambda n: F.concat(n, F.array(rest(n))))
-
-
-def _references(rows: DataFrame) -> dict[str, tuple[list[int], list[int]]]:
-    """Sums of both histograms by language: one row, with a few counts for each language of the fixed table."""
-    sums = {}
-    for name, words in COMMON_WORDS.items():
-        for kind, (counts, n) in enumerate(zip(_histograms(name), (len(CLASSES), len(words) + 1))):
-            for i in range(n):
-                value = F.when(F.col("lang") == name, F.get(counts, F.lit(i)))
-                sums[name, kind, i] = F.sum(value)
-    row = rows.agg(*[c.alias("_".join(map(str, k))) for k, c in sums.items()]).first()
-    out = {name: ([], []) for name in COMMON_WORDS}
-    for (name, kind, _), value in zip(sums, row):
-        out[name][kind].append(int(value or 0))
-    return out
-
-
-def _compared(rows: DataFrame, references: dict, most_chars: float, most_common: float) -> DataFrame:
-    """The distances to the row's language, or the least to any, and whether one is too great for the text's length."""
-    out = {}
-    for kind, alias in enumerate(("js_chars", "js_common")):
-        made = {n: _distance(_histograms(n)[kind], references[n][kind]) for n in COMMON_WORDS}
-        own = reduce(lambda c, n: c.when(F.col("lang") == n, made[n]), made, F)
-        out[alias] = own.otherwise(F.least(*made.values()))
+def _compared(rows: DataFrame, references: DataFrame, most_chars: float, most_common: float) -> DataFrame:
+    """The distances to the row's language and whether one is too great for the text's length."""
+    rows = lookup_join(rows, references, [("lang", "ref_lang")], "left")
+    out = {
+        "js_chars": _distance(F.col("classes"), F.col("ref_classes")),
+        "js_common": _distance(F.col("histogram"), F.col("ref_histogram")),
+    }
     chars = F.col("word_chars") + F.get("classes", F.lit(CLASSES.index("space")))
     by_chars = F.col("js_chars") > most_chars + CHARS_NOISE / F.sqrt(chars)
     by_common = F.col("js_common") > most_common + COMMON_NOISE / F.sqrt("n_words")
-    diverges = ((chars >= LEAST_CHARS) & by_chars) | ((F.col("n_words") >= LEAST_COMMON) & by_common)
-    return rows.withColumns(out).withColumn("diverges", F.coalesce(diverges, F.lit(False)))
+    long_chars, long_words = chars >= LEAST_CHARS, F.col("n_words") >= LEAST_COMMON
+    diverges = F.coalesce(long_chars & by_chars, F.lit(False)) | F.coalesce(long_words & by_common, F.lit(False))
+    return rows.withColumns(out).withColumn("diverges", diverges).drop("ref_classes", "ref_histogram")
 
 
 def judged(
@@ -176,15 +197,17 @@ def judged(
 ) -> DataFrame:
     """Per row: the key, the counts, ``base_failed``, the distances ``js_chars`` and ``js_common`` and ``kept``.
 
-    The reference is that of the row's language; a row of another or no language takes the least distance to any.
+    The reference is that of the row's language, whichever languages the table holds; a row without a language has none.
     Texts below the guards, and comparisons without a reference, pass. A NULL or empty text has no words and fails
     the base rules. Equal rows get equal results; other columns are not read.
     """
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEATED_PERCENT * F.col("n_words"))
     rows = measured(df, key, text, lang).withColumn("base_failed", failed)
-    rows = Staging(df.sparkSession, "rules").table(rows, "measured")
+    stage = Staging(df.sparkSession, "rules")
+    rows = _with_histogram(stage.table(rows, "measured"), stage)
     sound = rows.where("NOT base_failed")
     # Junk that passes the base rules would be part of its own reference; the second one is without it.
-    first = _compared(sound, _references(sound), most_chars, most_common)
-    out = _compared(rows, _references(first.where("NOT diverges")), most_chars, most_common)
-    return out.withColumn("kept", ~F.col("base_failed") & ~F.col("diverges")).drop("classes", "common", "lang", "diverges")
+    first = _compared(sound, stage.table(_references(sound), "first"), most_chars, most_common)
+    second = stage.table(_references(first.where("NOT diverges")), "second")
+    out = _compared(rows, second, most_chars, most_common)
+    return out.withColumn("kept", ~F.col("base_failed") & ~F.col("diverges")).drop("classes", "histogram", "lang", "diverges")

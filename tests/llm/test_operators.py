@@ -199,6 +199,30 @@ def test_divergence(spark, documents):
     assert frame.first().d == pytest.approx(math.sqrt((part(a, (a + b) / 2) + part(b, (a + b) / 2)) / 2))
 
 
+def test_languages_without_fixed_words(spark, documents):
+    """Any language of the table is its own reference; a row without a language has none and passes."""
+    r = random.Random(2)
+    letters = {"ru": "абвгдежзиклмнопрстуф", "sw": "abcdefghijklmnopqrst"}
+    rows, langs = [], {}
+    for at, (lang, abc) in enumerate(letters.items()):
+        frequent = [abc[i] + abc[i + 1] for i in range(10)]
+        word = lambda: "".join(r.choice(abc) for _ in range(6))  # noqa: B023, E731
+        for i in range(40):
+            text = " ".join(r.choice(frequent) if r.random() < 0.4 else word() for _ in range(200))
+            rows.append((1000 * at + i, text))
+        rows.append((1000 * at + 100, rows[-1][1].replace(" ", "## ")))
+        rows.append((1000 * at + 101, " ".join(word() for _ in range(300))))
+        langs |= {k: lang for k, _ in rows if k >= 1000 * at}
+    rows += [(5000, rows[0][1]), (5001, rows[45][1])]
+    lang = F.create_map(*[F.lit(x) for pair in langs.items() for x in pair])
+    frame = documents(rows).withColumn("lang", F.element_at(lang, F.col("doc_id").cast("int")))
+    assert {x.lang for x in frame.select("lang").distinct().collect()} == {"ru", "sw", None}
+    got = {x.doc_id: x for x in quality_rules.judged(frame).collect()}
+    junk = {100, 101, 1100, 1101}
+    assert {k for k, x in got.items() if not x.kept} == junk and len(got) == len(rows)
+    assert all(got[k].js_chars is None and got[k].js_common is None for k in (5000, 5001))
+
+
 # 6 token counts
 
 
