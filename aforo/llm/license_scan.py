@@ -38,7 +38,6 @@ TEMPLATES = [
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
 ]
-OWN = "row long, license string, score double"
 
 
 def terms(raw: bytes) -> list[bytes]:
@@ -120,11 +119,12 @@ def _scan(batches: Iterator[pa.RecordBatch], templates: Templates) -> Iterator[p
         found = [templates.license_of(v.as_py() or b"") or (None, None) for v in batch.column(1)]
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column(0),
+                batch.column(2),
+                batch.column(3),
                 pa.array([name for _, name in found], pa.string()),
                 pa.array([score for score, _ in found], pa.float64()),
             ],
-            names=["row", "license", "score"],
+            names=["__key", "path", "license", "score"],
         )
     give_back()
 
@@ -140,21 +140,19 @@ def scan_licenses(
 
     A licence file is one whose name is LICENSE, COPYING or NOTICE, with any ending. Of several in a directory the
     best score counts, then the greater name. A NULL path has no directory and inherits nothing; the root
-    directory is the empty text. NULL and empty texts have no licence of their own. Keys should be unique:
-    rows that share one share the licence found for it. Other columns are not read.
+    directory is the empty text. NULL and empty texts have no licence of their own. Each row
+    has the licence of its own text, whether its key is NULL, repeated or neither. Other columns are not read.
     """
-    stage, source = Staging(df.sparkSession, "licenses"), id_and_text(df, key, text)
+    stage, address = Staging(df.sparkSession, "licenses"), F.col(f"`{path}`")
+    source = id_and_text(df, key, text, F.col(f"`{key}`").alias("__key"), address.cast("string").alias("path"))
     vocabulary = {t for _, body in TEMPLATES for t in terms(body.encode())}
     counts = source.mapInArrow(partial(_frequencies, vocabulary=vocabulary), "term binary, n long")
     # At most one row per term of the templates.
     frequency = {bytes(r.term): r.n for r in counts.groupBy("term").agg(F.sum("n").alias("n")).collect()}
     templates = Templates(TEMPLATES, frequency, frequency.pop(b"", 0), least)
-    own = source.mapInArrow(partial(_scan, templates=templates), OWN).where("license IS NOT NULL")
-    best = own.groupBy("row").agg(F.max(F.struct("score", "license")).alias("b")).select("row", "b.*")
-    own = stage.table(best.where("row IS NOT NULL"), "own")
-    address = F.col(f"`{path}`")
-    rows = df.select(F.col(f"`{key}`").alias("__key"), address.alias("path"), _directory(address).alias("__dir"))
-    rows = lookup_join(rows, own, [(F.col("__key").cast("long"), "row")], "left")
+    found = f"__key {source.schema['__key'].dataType.simpleString()}, path string, license string, score double"
+    rows = stage.table(source.mapInArrow(partial(_scan, templates=templates), found), "own")
+    rows = rows.withColumn("__dir", _directory(F.col("path")))
     name = F.regexp_extract("path", r"[^/]*$", 0)
     files = rows.where(F.col("license").isNotNull() & name.rlike(FILE_NAMES))
     roots = files.groupBy("__dir").agg(F.max(F.struct("score", "license")).alias("given"))

@@ -104,6 +104,21 @@ def test_licenses(spark):
     assert license_scan.scan_licenses(df.limit(0)).count() == 0
 
 
+def test_licenses_under_null_and_repeated_keys(spark):
+    mit, apache = "Released under the MIT License.", "Licensed under the Apache License, Version 2.0."
+    rows = [(None, "a/LICENSE", mit), (None, "a/f", "x = 1"), (None, "b/g", "y = 2"), (5, "c/LICENSE", apache), (5, "d/h", "z = 3"), (6, "a/i", "")]
+    df = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    got = {r.path: (r.doc_id, r.license, r.origin, r.directory) for r in license_scan.scan_licenses(df).collect()}
+    assert got == {
+        "a/LICENSE": (None, "MIT", "own", "a"),
+        "a/f": (None, "MIT", "inherited", "a"),
+        "b/g": (None, None, None, None),
+        "c/LICENSE": (5, "Apache-2.0", "own", "c"),
+        "d/h": (5, None, None, None),
+        "a/i": (6, "MIT", "inherited", "a"),
+    }
+
+
 # 3 decontamination
 
 
