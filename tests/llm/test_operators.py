@@ -229,9 +229,13 @@ def test_languages_without_fixed_words(spark, documents):
         rows.append((1000 * at + 101, " ".join(word() for _ in range(300))))
         langs |= {k: lang for k, _ in rows if k >= 1000 * at}
     rows += [(5000, rows[0][1]), (5001, rows[45][1])]
+    known = "the of and to in a is that for it".split()
+    english = [(9000 + i, " ".join(r.choice(known) if r.random() < 0.4 else f"word{chr(97 + r.randrange(26))}" for _ in range(200))) for i in range(40)]
+    rows += english
+    langs |= {k: "en" for k, _ in english}
     lang = F.create_map(*[F.lit(x) for pair in langs.items() for x in pair])
     frame = documents(rows).withColumn("lang", F.element_at(lang, F.col("doc_id").cast("int")))
-    assert {x.lang for x in frame.select("lang").distinct().collect()} == {"ru", "sw", None}
+    assert {x.lang for x in frame.select("lang").distinct().collect()} == {"en", "ru", "sw", None}
     got = {x.doc_id: x for x in quality_rules.judged(frame).collect()}
     junk = {100, 101, 1100, 1101}
     assert {k for k, x in got.items() if not x.kept} == junk and len(got) == len(rows)
