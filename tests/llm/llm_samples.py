@@ -1,10 +1,7 @@
-import sys
-from pathlib import Path
+"""Sample rows and the fixture that the tests of this folder share."""
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
-
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, score string, kept string"
 
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 import public_tokenizers
 import tiktoken
-from conftest import EDGE, prose
+from llm_samples import EDGE, documents, prose  # noqa: F401
 from pyspark.sql import functions as F
 
 from aforo.llm import (

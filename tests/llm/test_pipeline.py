@@ -3,7 +3,7 @@ from collections import Counter
 
 import tiktoken
 from compare import compare, connect
-from conftest import EDGE, prose
+from llm_samples import EDGE, documents, prose  # noqa: F401
 import public_tokenizers
 import pytest
 
