@@ -14,7 +14,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aforo.session import new_path
+from aforo.session import drop_path, new_path
 
 # Words are runs of other characters than ASCII white space. The same set is what bytes.split() splits at.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -44,11 +44,10 @@ class Staging:
             drop_path(self.spark, path)
         return out
 
-
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Remove a staged folder through the file system that Spark itself uses for it."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    def drop(self) -> None:
+        """Remove all staged tables."""
+        while self.paths:
+            drop_path(self.spark, self.paths.pop())
 
 
 # Batches that Spark hands to Python: a few hundred documents, or fewer long ones.

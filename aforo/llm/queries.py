@@ -18,6 +18,7 @@ from aforo.llm import (
     substring_dedup,
     token_counts,
     url_filter,
+    whitening,
 )
 from aforo.llm.registry import ORACLE, QUERIES, query, table  # noqa: F401
 
@@ -109,3 +110,8 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
     group = lambda n: F.floor(F.col("doc_id") / n).cast("string")
     path = F.concat_ws("/", "source", group(1000), group(100), name)
     return license_scan.scan_licenses(table(spark, sf, "documents").withColumn("path", path))
+
+
+@query("op12_whitening")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf, "embeddings"))
