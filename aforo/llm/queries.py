@@ -12,6 +12,7 @@ from aforo.llm import (
     license_scan,
     lm_score,
     near_dedup,
+    prefix_trie,
     quality_classifier,
     quality_rules,
     sql,
@@ -115,3 +116,9 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
 @query("op12_whitening")
 def op12(spark: SparkSession, sf: str) -> DataFrame:
     return whitening.whiten(table(spark, sf, "embeddings"))
+
+
+@query("op11_prefix_trie", sql.PREFIX_TRIE)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversations rebuilt with up to eight first turns of the first of their group of five."""
+    return prefix_trie.prefix_trie(table(spark, sf, "conversations"), splice=(5, 9))

@@ -57,3 +57,36 @@ WITH u AS (
 SELECT p.page_id, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') AS verdict
 FROM p LEFT JOIN fit ON fit.page_id = p.page_id
 """
+
+# The remainder of crc32, bit by bit: DuckDB has no function for it.
+PREFIX_TRIE = """
+WITH turns AS (
+  SELECT conv_id AS c, {'r': coalesce(role, ''), 't': coalesce(text, '')} AS x,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+whole AS (
+  SELECT c, list(x ORDER BY pos) AS xs, xor(4294967295, list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda s: ascii(s)::BIGINT)),
+      lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+        lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END))) % 9 AS h
+  FROM turns GROUP BY c),
+rebuilt AS (
+  SELECT w.c, list_concat(coalesce(b.xs[1:w.h], []), w.xs[w.h + 1:]) AS xs
+  FROM whole w LEFT JOIN whole b ON b.c = w.c - w.c % 5),
+prefixes AS (SELECT c, xs, unnest(range(0, len(xs) + 1)) AS d FROM rebuilt),
+nodes AS (
+  SELECT d, xs[1:d] AS p, min(c) AS c, count(*) AS n,
+    coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len(xs) = d), '') AS ends
+  FROM prefixes GROUP BY ALL),
+families AS (
+  SELECT n.*, CASE WHEN n.d > 0 THEN (n.n - 1) * strlen(n.p[n.d].t) ELSE 0 END AS own, coalesce(k.n_children, 0) AS n_children
+  FROM nodes n LEFT JOIN (SELECT d - 1 AS d, p[1:d - 1] AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL) k
+    ON k.d = n.d AND k.p = n.p),
+above AS (SELECT p, own, n_children, unnest(range(0, d + 1)) AS a FROM families),
+subtrees AS (
+  SELECT p[1:a] AS p, count(*) FILTER (n_children = 0) AS n_leaves, sum(own) AS saved FROM above GROUP BY ALL)
+SELECT f.c AS conv_id, f.d AS depth, u.c AS parent_conv_id, f.n AS n_convs, f.n_children, s.n_leaves,
+  CAST(s.saved AS BIGINT) AS saved_tokens, sha256(f.ends) AS ends_sha256
+FROM families f JOIN subtrees s ON s.p = f.p
+LEFT JOIN nodes u ON u.d = f.d - 1 AND u.p = f.p[1:f.d - 1]
+"""
