@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from aforo.llm import (
     byte_bpe,
+    chunk_bpe,
     decontaminate,
     license_scan,
     lm_score,
@@ -122,3 +123,9 @@ def op12(spark: SparkSession, sf: str) -> DataFrame:
 def op11(spark: SparkSession, sf: str) -> DataFrame:
     """Conversations rebuilt with up to eight first turns of the first of their group of five."""
     return prefix_trie.prefix_trie(table(spark, sf, "conversations"), splice=(5, 9))
+
+
+@query("op13_chunk_bpe")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    codec = chunk_bpe.Codec(public_tokenizers.path("byte_bpe_50k.json"))
+    return chunk_bpe.encode(table(spark, sf, "documents"), codec, digest=True)
