@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UNKNOWN = "Unknown"
 
@@ -14,14 +15,23 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def integer_text(c: Column | str) -> Column:
-    """Text of an integer that may have been stored as ``123.0`` or as a double, which prints ``1.23E7``."""
-    text = F.trim(_col(c).cast("string"))
-    number = F.when(text.rlike(r"^-?[0-9.]+E[0-9]+$"), text.try_cast("decimal(38,10)"))
+def integer_text(c: Column | str, kind: T.DataType | None = None) -> Column:
+    """Text of an integer that may have been stored as ``123.0`` or as a double, which prints ``1.23E7``.
+
+    ``kind`` is the column's type where it is known: the text of an integer needs no rule and text no exponent, and
+    every rule left out keeps the generated code of a wide row short.
+    """
+    col = _col(c)
+    if isinstance(kind, T.IntegralType):
+        return col.cast("string")
+    text = F.trim(col if isinstance(kind, T.StringType) else col.cast("string"))
+    plain = F.when(col.cast("string").contains(".0"), F.regexp_replace(text, r"\.0+$", "")).otherwise(text)
+    if isinstance(kind, (T.StringType, T.DecimalType)):
+        return plain
+    number = text.try_cast("decimal(38,10)")
     whole = number.try_cast("decimal(38,0)")
-    text = F.when(number == whole, whole.cast("string")).otherwise(text)
-    stored_as_float = text.endswith("0") & text.contains(".")
-    return F.when(stored_as_float, F.regexp_replace(text, r"\.0+$", "")).otherwise(text)
+    written_out = text.rlike(r"^-?[0-9.]+E[0-9]+$") & (number == whole)
+    return F.when(written_out, whole.cast("string")).otherwise(plain)
 
 
 def whole_number(c: Column | str) -> Column:
@@ -64,11 +74,21 @@ def month_start(date: Column | str) -> Column:
     return F.trunc(_col(date), "MM")
 
 
-def reference_id(document: Column | str, item: Column | str, unknown: str = UNKNOWN) -> Column:
-    """``document-item``; a missing, empty or zero document and a missing item become ``Unknown``."""
-    doc = integer_text(document)
-    doc = F.when(doc.isin("", "0"), F.lit(unknown)).otherwise(F.coalesce(doc, F.lit(unknown)))
-    return F.concat(doc, F.lit("-"), F.coalesce(integer_text(item), F.lit(unknown)))
+def reference_id(
+    document: Column | str, item: Column | str, unknown: str = UNKNOWN, schema: T.StructType | None = None
+) -> Column:
+    """``document-item``; a missing, empty or zero document and a missing item become ``Unknown``.
+
+    ``schema`` gives the types of columns that are named, see :func:`integer_text`.
+    """
+    doc = F.coalesce(integer_text(document, kind_of(document, schema)), F.lit(""))
+    doc = F.regexp_replace(doc, "^0?$", unknown)
+    return F.concat(doc, F.lit("-"), F.coalesce(integer_text(item, kind_of(item, schema)), F.lit(unknown)))
+
+
+def kind_of(c: Column | str, schema: T.StructType | None) -> T.DataType | None:
+    """The type of a column that is given by name; None where it is not known."""
+    return schema[c].dataType if schema is not None and isinstance(c, str) else None
 
 
 def fill_code(c: Column | str, sentinel: int) -> Column:
@@ -81,10 +101,9 @@ def fill_codes(df: DataFrame, sentinels: Mapping[str, int]) -> DataFrame:
     return df.withColumns({name: fill_code(name, value) for name, value in sentinels.items()})
 
 
-def normalize_tariff(c: Column | str) -> Column:
+def normalize_tariff(c: Column | str, kind: T.DataType | None = None) -> Column:
     """Tariff code as 8-digit text: a stored ``.0`` goes, a lost leading zero comes back."""
-    text = integer_text(c)
-    return F.when(F.length(text) == 7, F.concat(F.lit("0"), text)).otherwise(text)
+    return F.regexp_replace(integer_text(c, kind), "^(.{7})$", "0$1")
 
 
 def currency_code(c: Column | str, codes: Mapping[int, str], other: str = "other") -> Column:

@@ -41,24 +41,27 @@ def strip_line_ends(c: Column | str) -> Column:
     return F.trim(F.translate(_col(c), "\r\n", ""))
 
 
-def contains_any(c: Column | str, words: Sequence[str]) -> Column:
-    """Case-blind: any of the upper-case ``words`` occurs. NULL text gives NULL."""
-    upper = F.upper(_col(c))
+def contains_any(c: Column | str, words: Sequence[str], stored_upper: bool = False) -> Column:
+    """Case-blind: any of the upper-case ``words`` occurs. NULL text gives NULL.
+
+    ``stored_upper`` says that the column is upper-case already: the bare column can then be tested by the scan.
+    """
+    upper = _col(c) if stored_upper else F.upper(_col(c))
     return reduce(lambda a, b: a | b, [upper.contains(w) for w in words])
 
 
-def contains_none(c: Column | str, words: Sequence[str]) -> Column:
+def contains_none(c: Column | str, words: Sequence[str], stored_upper: bool = False) -> Column:
     """Case-blind: none of the words occurs. NULL text gives NULL, so a filter drops the row."""
-    return ~contains_any(c, words)
+    return reduce(lambda a, b: a & b, [~contains_any(c, [w], stored_upper) for w in words])
 
 
 def starts_with_any(c: Column | str, prefixes: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [_col(c).startswith(p) for p in prefixes])
 
 
-def oil_flag(c: Column | str, word: str, yes: str, no: str) -> Column:
+def oil_flag(c: Column | str, word: str, yes: str, no: str, stored_upper: bool = False) -> Column:
     """``yes`` where the word occurs, else ``no`` (also for NULL text)."""
-    return F.when(contains_any(c, [word]), F.lit(yes)).otherwise(F.lit(no))
+    return F.when(contains_any(c, [word], stored_upper), F.lit(yes)).otherwise(F.lit(no))
 
 
 def is_seed(
@@ -69,9 +72,25 @@ def is_seed(
     return F.when(hit, F.lit(1)).otherwise(F.lit(0))
 
 
+UPPER = "_UP"
+
+
+def upper_columns(columns: Sequence[str]) -> dict[str, Column]:
+    """The columns in upper case, named for :func:`match_column`, to be stored with a table."""
+    return {f"{c}{UPPER}": F.upper(_col(c)) for c in columns}
+
+
+def match_column(df: DataFrame, name: str) -> tuple[str, bool]:
+    """The column that case-blind rules look at: the stored upper-case one where the table has it."""
+    return (f"{name}{UPPER}", True) if f"{name}{UPPER}" in df.columns else (name, False)
+
+
 def exclude_keywords(df: DataFrame, words: Mapping[str, Sequence[str]]) -> DataFrame:
     """Keep rows where no column shows one of its words; a NULL column drops its row."""
-    return df.filter(reduce(lambda a, b: a & b, [contains_none(c, w) for c, w in words.items()]))
+    for name, listed in words.items():
+        column, stored = match_column(df, name)
+        df = df.filter(contains_none(column, listed, stored))
+    return df
 
 
 def exclude_codes(df: DataFrame, code: str | Column, codes: Sequence[str]) -> DataFrame:

@@ -44,6 +44,26 @@ def union_all(*frames: DataFrame) -> DataFrame:
     return out
 
 
+def row_digest(df: DataFrame, seeds: Sequence[int] = (0, 1)) -> list[Column]:
+    """64 bits of hash over all columns per seed, without turning any of them into text."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    return [F.xxhash64(F.lit(seed), *columns) for seed in seeds]
+
+
+def distinct_rows(df: DataFrame, digest: Sequence[Column] | None = None) -> DataFrame:
+    """Distinct rows of a wide frame, grouped by a digest of 16 bytes instead of by all columns.
+
+    Within a digest rows are compared as a whole, so two rows that share one both stay. Copies collapse in the map
+    tasks already. Columns of type map cannot be compared; doubles are compared by their bits.
+    """
+    digest = row_digest(df) if digest is None else list(digest)
+    keys = [f"__digest_{i}" for i in range(len(digest))]
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    grouped = df.select(*[d.alias(k) for d, k in zip(digest, keys)], row.alias("__row")).groupBy(*keys)
+    rows = grouped.agg(F.collect_set("__row").alias("__rows"))
+    return rows.select(F.explode("__rows").alias("__row")).select("__row.*")
+
+
 def delete_where(df: DataFrame, where: Column | str) -> DataFrame:
     """What a DELETE leaves: rows for which the predicate is false or NULL."""
     return df.filter(~F.coalesce(_condition(where), F.lit(False)))

@@ -11,11 +11,12 @@ from aforo import fixed_values as fx
 from aforo.operators.rates import currency_converter
 from aforo.operators.series import chart_feed
 from aforo.plans import reports
+from aforo.plans.cleaned_tables import refresh_cleaned, version_of
 from aforo.plans.monthly_load import LoadResult, incremental_load, refresh_reports_if
 from aforo.plans.price_series import price_series
 from aforo.session import drop_path, new_path
 from aforo.sinks.files import export_by_country, export_reports, write_country_list
-from aforo.sinks.tables import materialize
+from aforo.sinks.tables import materialize, register_path
 from aforo.sources.files import latest_files, read_manifest, trade_paths
 from aforo.sources.reference import rate_rejects, read_dimensions, read_rates
 from aforo.sources.trade import read_trade_archives
@@ -47,6 +48,10 @@ class Layout:
     def fact_paths(self) -> dict[str, str]:
         return {t: f"{self.facts}/{t}" for t in SPECS}
 
+    def cleaned(self, trade: str) -> str:
+        """Where the cleaned rows of ``imports`` or ``exports`` lie, by period."""
+        return f"{self.output}/cleaned/{trade}_raw"
+
     def rejects(self, name: str) -> str:
         """Where the rejected values of ``imports``, ``exports`` or ``rates`` are written."""
         return f"{self.output}/rejects/{name}"
@@ -100,18 +105,23 @@ def refresh_reference(
     return dims, materialize(converter, f"{layout.database}.currency_converter")
 
 
+def refresh_raw(
+    spark: SparkSession, layout: Layout, trade: str, dims: dict[str, DataFrame]
+) -> DataFrame:
+    """The cleaned table ``imports_raw`` or ``exports_raw``, with the periods rebuilt that changed."""
+    make = {"imports": reports.imports_raw, "exports": reports.exports_raw}[trade]
+    facts, path = layout.fact_paths()[trade], layout.cleaned(trade)
+    # The columns of the result stand for the rules that made them; a change of either rebuilds every period.
+    version = version_of(dims, (SPECS[trade], make(spark.read.parquet(facts), dims).schema.simpleString()))
+    refresh_cleaned(spark, facts, lambda rows: make(rows, dims), path, version)
+    return register_path(spark, f"{layout.database}.{trade}_raw", path)
+
+
 def rebuild_reports(
     spark: SparkSession, layout: Layout, dims: dict[str, DataFrame], converter: DataFrame
 ) -> dict[str, DataFrame]:
-    """Cleaned tables, the four views, their exports, the series and the country list."""
-    facts = {
-        t: spark.read.parquet(p)
-        for t, p in layout.fact_paths().items()
-    }
-    raws = (
-        materialize(reports.imports_raw(facts["imports"], dims), f"{layout.database}.imports_raw"),
-        materialize(reports.exports_raw(facts["exports"], dims), f"{layout.database}.exports_raw"),
-    )
+    """Cleaned tables (their changed periods), the four views, their exports, the series and the country list."""
+    raws = tuple(refresh_raw(spark, layout, trade, dims) for trade in SPECS)
     views = reports.register_report_views(*raws, converter)
     export_reports({name: views[name] for name in EXPORTED_VIEWS}, layout.output)
 

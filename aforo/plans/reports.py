@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from aforo import fixed_values as fx
 from aforo.functions import amounts, keys, text
-from aforo.operators.classify import ProductClass, classify
+from aforo.operators.classify import ProductClass, classify, in_any_class
 from aforo.operators.labels import EXPORT_ROLES, IMPORT_ROLES, Role, label_codes
 from aforo.operators.rates import with_monthly_rates
 from aforo.operators.relational import enforce_types, typed
@@ -20,6 +20,8 @@ PRODUCT_CLASSES = (
     ProductClass(fx.WHEAT_CLASS, fx.WHEAT_PREFIXES, fx.WHEAT_WORDS),
     ProductClass(fx.CANOLA_CLASS, fx.CANOLA_PREFIXES, fx.CANOLA_WORDS),
 )
+# The 8-digit tariff that cleaned tables hold beside the written one.
+TARIFF_KEY = "ARANCEL_8"
 RATES = ("to_clp", *[f"to_{c}" for c in fx.RATE_CURRENCIES])
 
 
@@ -106,6 +108,16 @@ EXPORTS = TradeSpec(
 )
 
 
+def match_columns(df: DataFrame, spec: TradeSpec) -> dict[str, Column]:
+    """What the rules look at, to be stored in the cleaned table: the tariff as 8 digits and texts in upper case.
+
+    Rules on bare columns reach the scan, so a stored table skips row groups by tariff prefix.
+    """
+    texts = {spec.product, *spec.excluded_words, *spec.report_excluded_words}
+    tariff = keys.normalize_tariff(spec.tariff, keys.kind_of(spec.tariff, df.schema))
+    return {TARIFF_KEY: tariff, **text.upper_columns(sorted(texts))}
+
+
 def derive_keys(landed: DataFrame, spec: TradeSpec, strict: bool = False) -> DataFrame:
     """Landed text to the fact table: ``fecha``, ``period_id``, ``reference_id`` and integer codes.
 
@@ -117,7 +129,7 @@ def derive_keys(landed: DataFrame, spec: TradeSpec, strict: bool = False) -> Dat
     df = keys.drop_undated(df, "fecha").withColumns(
         {
             "period_id": keys.period_id("fecha"),
-            "reference_id": keys.reference_id(spec.document, spec.item),
+            "reference_id": keys.reference_id(spec.document, spec.item, schema=landed.schema),
         }
     )
     df = enforce_types(keys.fill_codes(df, spec.sentinels), spec.code_types())
@@ -165,20 +177,22 @@ def load_rejects(landed: DataFrame, spec: TradeSpec) -> DataFrame:
     for c in spec.amounts:
         found.append(fault(c, "no amount", amounts.clean_amount(c).isNull()))
     return landed.select(
-        keys.reference_id(spec.document, spec.item).alias("reference_id"),
+        keys.reference_id(spec.document, spec.item, schema=landed.schema).alias("reference_id"),
         # Not compacted first: the filter that Spark infers from it would repeat all rules in one method.
         F.explode(F.array(*found)).alias("fault"),
     ).filter(F.col("fault").isNotNull()).select("reference_id", "fault.*")
 
 
 def cleaned(facts: DataFrame, dims: Mapping[str, DataFrame], spec: TradeSpec) -> DataFrame:
-    """The fact table with clean amounts, labels, month and full description; all columns stay."""
+    """The fact table with clean amounts, labels, month, full description and match columns; all columns stay."""
+    matched = match_columns(facts, spec)
     df = amounts.clean_amounts(facts, list(spec.amounts))
     df = label_codes(df, dims, spec.roles)
     return df.withColumns(
         {
             "fecha_month": keys.month_start("fecha"),
             "DESC_COMPLETA": text.full_description(*spec.description),
+            **matched,
         }
     )
 
@@ -201,23 +215,25 @@ def trade_view(
 ) -> DataFrame:
     """Classified products without the excluded ones, with trade type and sub-type.
 
-    The exclusions are stated after the classification. They only look at columns of the row, so
-    Catalyst moves them below its distinct and behind its filter: the class test, which leaves few
-    rows, comes first, and only what passes everything is shuffled. ``classes`` names the product
-    classes that are wanted; rows of no other class reach the distinct.
+    All rules look at one row and stand before the distinct, the class test, which leaves few rows,
+    first: only what passes everything is shuffled. They use the stored match columns of a cleaned table, which the
+    view itself leaves out. ``classes`` names the product classes that are wanted; rows of no other class
+    reach the distinct.
     """
-    tariff = keys.normalize_tariff(spec.tariff)
+    stored = [c for c in match_columns(raw, spec) if c in raw.columns]
+    tariff = F.col(TARIFF_KEY) if TARIFF_KEY in stored else match_columns(raw, spec)[TARIFF_KEY]
     listed = [c.zfill(8) for c in spec.excluded_tariffs]
     wanted = [c for c in spec.classes if classes is None or c.name in classes]
-    df = classify(raw, wanted, tariff, spec.product, "TIPO")
+    product, is_upper = text.match_column(raw, spec.product)
+    df = raw.filter(in_any_class(wanted, tariff, F.col(product), is_upper))
     df = text.exclude_codes(text.exclude_keywords(df, spec.excluded_words), tariff, listed)
-    df = df.filter(F.col(spec.quantity) > F.lit(spec.min_quantity))
-    return df.withColumns(
+    df = df.filter(F.col(spec.quantity) > F.lit(spec.min_quantity)).withColumns(
         {
             "TRADE_TYPE": F.lit(spec.trade),
-            "TIPO2": text.oil_flag(spec.product, spec.oil_word, fx.OIL_TYPE, fx.OTHER_TYPE),
+            "TIPO2": text.oil_flag(product, spec.oil_word, fx.OIL_TYPE, fx.OTHER_TYPE, is_upper),
         }
     )
+    return classify(df, wanted, tariff, spec.product, "TIPO", leave_out=stored)
 
 
 def report_source(raw: DataFrame, spec: TradeSpec) -> DataFrame:

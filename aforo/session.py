@@ -83,8 +83,21 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _located(spark: SparkSession, path: str):
+    """A path and the file system that Spark itself uses for it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
 
 def drop_path(spark: SparkSession, path: str) -> None:
-    """Remove a staged folder through the file system that Spark itself uses for it."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    """Remove a folder or file, if it is there."""
+    target, system = _located(spark, path)
+    system.delete(target, True)
+
+
+def move_path(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder or file; fails where the new name is taken."""
+    target, system = _located(spark, path)
+    place, _ = _located(spark, to)
+    if system.exists(place) or not system.rename(target, place):
+        raise OSError(f"cannot move {path} to {to}")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from aforo.functions.timestamps import timestamps_to_text
 from aforo.operators.relational import delete_where
+from aforo.session import drop_path, move_path
 
 PERIOD = "period_id"
 
@@ -67,6 +68,29 @@ def replace_periods(df: DataFrame, path: str, partition: str = PERIOD) -> None:
     )
 
 
+def partition_path(path: str, column: str, value: str) -> str:
+    """The folder of one partition of a path table, with the value escaped as Spark escapes it."""
+    escaped = SparkSession.active()._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+    return f"{path}/{column}={escaped}"
+
+
+def replace_table(df: DataFrame, path: str) -> None:
+    """Write a small path table anew; until the last step the old one can be read."""
+    spark, new = df.sparkSession, f"{path}_{uuid.uuid4().hex}"
+    df.write.parquet(new)
+    drop_path(spark, path)
+    move_path(spark, new, path)
+
+
+def register_path(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """A catalog table over a path table, with the partitions and columns that it holds now."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path, "parquet")
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
+    return spark.table(name)
+
+
 def delete_from(
     spark: SparkSession, name: str, where: Column | str, path: str | None = None
 ) -> None:

@@ -2,7 +2,7 @@ import json
 from datetime import date
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 

@@ -3,7 +3,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
-from conftest import rows
+from frames import rows
 
 from aforo import fixed_values as fx
 from aforo.plans import price_series as prices

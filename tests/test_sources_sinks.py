@@ -3,7 +3,7 @@ import zipfile
 from datetime import date
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from aforo.operators.ledger import loaded_ledger

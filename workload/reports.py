@@ -14,7 +14,10 @@ from aforo.operators.joins import lookup_join
 from aforo.operators.labels import Role
 from aforo.plans import price_series as prices
 from aforo.plans import reports
-from aforo.session import staged
+from aforo.plans.cleaned_tables import refresh_cleaned, version_of
+from aforo.plans.monthly_load import incremental_load
+from aforo.session import new_path, staged
+from aforo.sinks.tables import append_table
 from workload.rates import CONVERTER_SQL, converter
 from workload.registry import query, rounded, table
 from workload.tables import with_unknown
@@ -128,7 +131,7 @@ IMPORTS_SQL = f"""{MONTHLY_SQL}, {BASE_SQL},
     WHERE upper(desobs1) NOT LIKE '%#7%' AND cif * to_usd > 10000)
 """
 REPORT_COLUMNS_SQL = """
-  l_orderkey || '-' || l_linenumber AS reference_id, parte, proveedor, origen AS pais_nombre_origen,
+  coalesce(CAST(nullif(l_orderkey, 0) AS VARCHAR), 'Unknown') || '-' || l_linenumber AS reference_id, parte, proveedor, origen AS pais_nombre_origen,
   currency_code, CAST(fecha_month AS VARCHAR) AS fecha_month, is_siembra, round(to_usd, 6) AS to_usd,
   round(to_cad, 6) AS to_cad
 """
@@ -139,9 +142,12 @@ def dims(spark, sf):
 
 
 def raw_table(spark, sf, spec):
-    facts = reports.derive_keys(declarations(spark, sf), spec)
-    raw = reports.cleaned(facts, dims(spark, sf), spec)
-    return raw.withColumn(
+    return with_unit(reports.derive_keys(declarations(spark, sf), spec), dims(spark, sf), spec)
+
+
+def with_unit(facts, countries, spec):
+    """The cleaned rows with the unit price that the import table has."""
+    return reports.cleaned(facts, countries, spec).withColumn(
         "PRE_UNIT_CIF", reports.amounts.unit_price_cif("CIF_ITEM_MOD", "CANT_MERC_MOD")
     )
 
@@ -167,7 +173,7 @@ def imports_report(spark, sf):
 @query(
     "load_rejects",
     """
-    WITH d AS (SELECT l_orderkey || '-' || l_linenumber AS reference_id, l_linenumber AS n, l_returnflag AS flag,
+    WITH d AS (SELECT coalesce(CAST(nullif(l_orderkey, 0) AS VARCHAR), 'Unknown') || '-' || l_linenumber AS reference_id, l_linenumber AS n, l_returnflag AS flag,
       l_quantity AS q FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey)
     SELECT reference_id, 'FECTRA' AS column_name, NULL AS raw, 'missing' AS reason, 1 AS row_dropped FROM d WHERE n = 6
     UNION ALL SELECT reference_id, 'FECTRA', '31022021', 'no date', 1 FROM d WHERE n = 7
@@ -191,19 +197,16 @@ def load_rejects(spark, sf):
     return reports.load_rejects(landed, IMPORTS)
 
 
-@query(
-    "cleaned_table",
-    f"""
-    WITH {BASE_SQL}
+CLEANED_SQL = """
     SELECT origen AS pais_nombre_origen, adquisicion AS pais_nombre_adquisicion,
       year(fecha) || '-' || month(fecha) AS period_id,
       round(sum(cif), 2) AS cif, sum(cant) AS cantidad, round(max(cif / cant), 9) AS unit,
       CAST(sum(length(concat(dnombre, ' ', dmarca, ' ', p_brand))) AS BIGINT) AS described
     FROM decl GROUP BY ALL
-    """,
-)
-def cleaned_table(spark, sf):
-    raw = raw_table(spark, sf, IMPORTS)
+"""
+
+
+def cleaned_sums(raw):
     out = raw.groupBy("pais_nombre_origen", "pais_nombre_adquisicion", "period_id").agg(
         F.sum("CIF_ITEM_MOD").alias("cif"),
         F.sum("CANT_MERC_MOD").cast("double").alias("cantidad"),
@@ -213,6 +216,48 @@ def cleaned_table(spark, sf):
     return rounded(rounded(out, 2, "cif"), 9, "unit")
 
 
+@query(
+    "cleaned_table",
+    f"WITH {BASE_SQL} {CLEANED_SQL}",
+)
+def cleaned_table(spark, sf):
+    return cleaned_sums(raw_table(spark, sf, IMPORTS))
+
+
+@query(
+    "cleaned_incremental",
+    f"""
+    WITH {BASE_SQL}, cleaned AS ({CLEANED_SQL})
+    SELECT *, CASE WHEN period_id IN ('1997-5', '1996-3') THEN 'build' END AS action FROM cleaned
+    """,
+)
+def cleaned_incremental(spark, sf):
+    """K-05 after I-04: a cleaned table follows its facts, of which one month was missing and one incomplete."""
+    facts = reports.derive_keys(declarations(spark, sf), IMPORTS)
+    first, cleaned, countries = new_path(spark, "facts"), new_path(spark, "cleaned"), dims(spark, sf)
+    cut = (F.col("period_id") == "1997-5") & (F.col("VIA_TRAN") > 3)
+    append_table(facts.filter((F.col("period_id") != "1996-3") & ~cut), first)
+    version = version_of(countries, IMPORTS)
+    refresh = lambda: refresh_cleaned(spark, first, lambda rows: with_unit(rows, countries, IMPORTS), cleaned, version)
+    refresh()
+    incremental_load(spark, {"imports": first}, {"imports": facts})
+    changed = refresh()
+    return lookup_join(cleaned_sums(spark.read.parquet(cleaned)), changed, [("period_id", "period_id")])
+
+
+@query(
+    "stored_view",
+    f"""
+    WITH {BASE_SQL}
+    SELECT tipo, dnombre, aranc, desobs1, count(*) AS rows, sum(cant) AS cantidad FROM viewed
+    GROUP BY ALL
+    """,
+)
+def stored_view(spark, sf):
+    """P-03 to P-06 and U-01 on a stored cleaned table, whose match columns the scan tests."""
+    return view_sums(reports.trade_view(staged(raw_table(spark, sf, IMPORTS), "cleaned"), IMPORTS))
+
+
 @query(
     "trade_view",
     f"""
@@ -222,7 +267,10 @@ def cleaned_table(spark, sf):
     """,
 )
 def trade_view(spark, sf):
-    view = reports.trade_view(raw_table(spark, sf, IMPORTS), IMPORTS)
+    return view_sums(reports.trade_view(raw_table(spark, sf, IMPORTS), IMPORTS))
+
+
+def view_sums(view):
     return view.groupBy(
         F.col("TIPO").alias("tipo"), F.col("DNOMBRE").alias("dnombre"),
         F.col("ARANC_NAC").alias("aranc"), F.col("DESOBS1").alias("desobs1"),
