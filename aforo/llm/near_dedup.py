@@ -121,19 +121,6 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-@tidied
-def _share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            left, right = (
-                np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16) for i in (2, 3)
-            )
-            share = (left == right).reshape(-1, COORDINATES).mean(axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(share)], names=["a", "b", "share"]
-            )
-
-
 @tidied
 def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     hashes, last = WordHashes(), {}
@@ -175,7 +162,7 @@ def _partners(group: pa.Table, most: int) -> pa.Table:
         for t in ts:
             against[i].add(t), against[t].add(i)
     left, right = np.flatnonzero(slot == x), np.flatnonzero(slot == y)
-    a, b = [], []
+    a, b, shares = [], [], []
     for i in left.tolist():
         open_ = right[part[right] != part[i]]
         if x == y:
@@ -189,7 +176,8 @@ def _partners(group: pa.Table, most: int) -> pa.Table:
         good = good[np.argsort(-share[share >= SHARE], kind="stable")][:most]
         a.extend([rows["node"][i]] * len(good))
         b.extend(rows["node"][j] for j in good.tolist())
-    return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+        shares.extend((drawn[good] == drawn[i]).mean(axis=1).tolist())
+    return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()), "share": pa.array(shares, pa.float64())})
 
 
 def _picker(most: int) -> Callable[[pa.Table], pa.Table]:
@@ -199,6 +187,13 @@ def _picker(most: int) -> Callable[[pa.Table], pa.Table]:
     return pick
 
 
+def _closest(offers: DataFrame, most: int) -> DataFrame:
+    """The ``most`` most similar partners of each node over all its buckets; the others wait for a later round."""
+    ranked = F.array_sort(F.collect_set(F.struct((-F.col("share")).alias("away"), "b")))
+    chosen = offers.groupBy("a").agg(F.slice(ranked, 1, most).alias("partners"))
+    return chosen.select("a", F.explode("partners.b").alias("b"))
+
+
 def _open_tasks(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of buckets with several components, dealt to pairs of slots.
 
@@ -290,14 +285,14 @@ class NearDuplicates:
         return joined.mapInArrow(lambda it: _verify(it, percent), "a binary, b binary, linked boolean")
 
     def _pivots(self) -> DataFrame:
-        """Each member with the most similar of the least members of its buckets."""
-        pivots = self.members.groupBy("bucket").agg(F.min("node").alias("b"))
-        pairs = self.members.join(pivots, "bucket").select(F.col("node").alias("a"), "b").where("a != b").distinct()
-        left = self.sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a"))
-        right = self.sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b"))
-        drawn = pairs.join(left, "a").join(right, "b").select("a", "b", "sketch_a", "sketch_b")
-        shares = drawn.mapInArrow(_share, "a binary, b binary, share double").where(F.col("share") >= SHARE)
-        return shares.groupBy("a").agg(F.max(F.struct("share", "b")).alias("best")).select("a", "best.b")
+        """Each member with the least member of the largest of its buckets: one pair a node.
+
+        Most copies of a family meet in one bucket, so these pairs leave few components of it for the rounds.
+        """
+        least = self.members.groupBy("bucket").agg(F.min("node").alias("b"), F.count("*").alias("size"))
+        offers = self.members.join(least, "bucket").where("node != b")
+        best = offers.groupBy(F.col("node").alias("a")).agg(F.max(F.struct("size", "b")).alias("best"))
+        return best.select("a", "best.b")
 
     def labels(self) -> DataFrame:
         """(node, label) of every linked node."""
@@ -308,12 +303,8 @@ class NearDuplicates:
             tasks = _open_tasks(self.members, labels).join(self.sketches, "node")
             refuted = tried.where("NOT linked").groupBy(F.col("a").alias("node"))
             tasks = tasks.join(refuted.agg(F.collect_set("b").alias("tried")), "node", "left")
-            pairs = (
-                tasks.groupBy("bucket", "x", "y")
-                .applyInArrow(_picker(most), "a binary, b binary")
-                .distinct()
-            )
-            found = stage.table(self._verified(pairs), "verified")
+            offers = tasks.groupBy("bucket", "x", "y").applyInArrow(_picker(most), "a binary, b binary, share double")
+            found = stage.table(self._verified(_closest(offers, most)), "verified")
             if found.isEmpty():
                 return labels
             tried, most = tried.unionByName(found), most * 8

@@ -428,3 +428,37 @@ def test_minimizers_cover_every_window():
     at = substring_dedup.minimizers(values, 41)
     for i in range(len(values) - 40):
         assert i + int(np.argmin(values[i : i + 41])) in at
+
+
+def test_a_family_gives_one_pivot_a_node(spark, documents):  # noqa: F811
+    """Pairs to verify stay below a few per node, whatever the number of copies."""
+    for copies in (100, 400):
+        r, base, rows = random.Random(copies), prose(70, 200, 5000).split(), []
+        for n in range(copies):
+            w = list(base)
+            for _ in range(r.randint(0, 3)):
+                w[r.randrange(len(w))] = f"edit{n}"
+            rows.append((n, " ".join(w)))
+        near = near_dedup.NearDuplicates(documents(rows), "doc_id", "text", near_dedup.PERCENT)
+        nodes = near.nodes.count()
+        assert near._pivots().count() <= nodes
+        tried, verified = [], near._verified
+        near._verified = lambda pairs: tried.append(pairs.count()) or verified(pairs)  # noqa: B023
+        labels = near.labels()
+        assert labels.select("label").distinct().count() == 1
+        assert sum(tried) <= 3 * nodes
+    near.stage.drop()
+
+
+def test_recall_of_planted_pairs():
+    """Pairs just above the threshold that share a band and pass the sketch's bound."""
+    r, found, share = np.random.default_rng(5), 0, []
+    for n in range(600):
+        size = int(r.integers(40, 400))
+        apart = int(size * r.uniform(0.10, 0.1428))  # Jaccard (size - apart) / (size + apart) of 0.75 to 0.82
+        both = r.integers(0, 1 << 63, size - apart, dtype=np.uint64)
+        a, b = (near_dedup.sketch(np.unique(np.r_[both, r.integers(0, 1 << 63, apart, dtype=np.uint64)])) for _ in range(2))
+        bands = (a == b).reshape(-1, near_dedup.ROWS).all(axis=1).any()
+        share.append((a == b).mean())
+        found += bands and share[-1] >= near_dedup.SHARE
+    assert found == 600 and min(share) >= near_dedup.SHARE + 0.02
