@@ -129,3 +129,11 @@ def test_registered_query(spark):
     out = contract.queries()["op13_chunk_bpe"](spark, SF)
     assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     assert sorted(tuple(r) for r in out.collect()) == sorted((k, *digests(t)) for k, t in docs)
+
+
+def test_stretches_keep_ids():
+    for i in range(200):
+        text = mixture(1000 + i, 60)
+        cut = chunk_bpe.stretches(text)
+        assert "".join(cut) == text
+        assert [i for s in cut for i in ids_of(s)] == ids_of(text)
