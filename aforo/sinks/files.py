@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 from aforo.operators.relational import sample_head
@@ -12,6 +12,16 @@ from aforo.operators.series import COUNTRY, country_list
 from aforo.sinks.tables import spread_by
 
 
+FORMATS = ("parquet", "csv")
+
+
+def _save(writer: DataFrameWriter, path: str, fmt: str) -> None:
+    if fmt not in FORMATS:
+        raise ValueError(f"{fmt!r} is none of {', '.join(FORMATS)}")
+    writer = writer.mode("overwrite")
+    writer.parquet(path) if fmt == "parquet" else writer.options(sep=";", header="true", escape='"').csv(path)
+
+
 def write_csv(df: DataFrame, path: str, **options: str) -> None:
     """``;`` text without header."""
     (
@@ -22,23 +32,23 @@ def write_csv(df: DataFrame, path: str, **options: str) -> None:
     )
 
 
-def export_reports(reports: Mapping[str, DataFrame], root: str) -> None:
-    """One Parquet folder per named report."""
+def export_reports(reports: Mapping[str, DataFrame], root: str, fmt: str = "parquet") -> None:
+    """One folder per named report, as Parquet or as ``;`` text with a header."""
     for name, df in reports.items():
-        df.write.mode("overwrite").parquet(f"{root}/{name}")
+        _save(df.write, f"{root}/{name}", fmt)
 
 
 def export_by_country(
-    df: DataFrame, everything: DataFrame, root: str, country: str = COUNTRY, first: str = "all"
+    df: DataFrame, everything: DataFrame, root: str, country: str = COUNTRY, first: str = "all", fmt: str = "parquet"
 ) -> None:
-    """One folder per country in lower case and one for all, from a single write.
+    """One folder per country in lower case and one for all, from a single write in either format.
 
     The partition column ``serie`` names the folder, the country column stays in the rows.
     """
     parts = df.withColumn("serie", F.lower(country)).unionByName(
         everything.withColumn("serie", F.lit(first))
     )
-    spread_by(parts, "serie").write.mode("overwrite").partitionBy("serie").parquet(root)
+    _save(spread_by(parts, "serie").write.partitionBy("serie"), root, fmt)
 
 
 def write_country_list(df: DataFrame, path: str, country: str = COUNTRY) -> None:

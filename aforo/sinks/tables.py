@@ -1,14 +1,13 @@
-"""Catalog and path tables: refresh, append, replacement of periods, materialized results."""
+"""Catalog and path tables: refresh, append, replacement of periods, materialized results; deletes are in ``deletes``."""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from aforo.functions.timestamps import timestamps_to_text
-from aforo.operators.relational import delete_where
 from aforo.session import drop_path, move_path
 
 PERIOD = "period_id"
@@ -91,30 +90,6 @@ def register_path(spark: SparkSession, name: str, path: str) -> DataFrame:
     return spark.table(name)
 
 
-def delete_from(
-    spark: SparkSession, name: str, where: Column | str, path: str | None = None
-) -> None:
-    """Conditional delete on a catalog table: the remainder is written first, then swapped in.
-
-    The remainder has the table's partition columns. The old table is renamed away and dropped last; if the
-    write or the swap fails the table is as it was. ``path`` is a new place for the remainder. A partitioned table
-    needs one: where a rename moves the folder, some catalogs still hold the partitions at the old place.
-    """
-    mark = uuid.uuid4().hex
-    rest, old = f"{name}_{mark}", f"{name}_{mark}_old"
-    partitions = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
-    if partitions and not path:
-        raise ValueError(f"{name} is partitioned: give a path for what is left")
-    refresh_table(delete_where(spark.table(name), where), rest, path, partitions)
-    spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
-    try:
-        spark.sql(f"ALTER TABLE {rest} RENAME TO {name}")
-    except Exception:
-        spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
-        raise
-    spark.sql(f"DROP TABLE {old}")
-
-
 def register_views(views: Mapping[str, DataFrame]) -> None:
     """Name plans so that SQL can use them; nothing is computed."""
     for name, df in views.items():

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from aforo.operators.ledger import loaded_ledger
 from aforo.plans.monthly_load import incremental_load, refresh_reports_if
+from aforo.sinks import deletes
 from aforo.sinks import files as file_sinks
 from aforo.sinks import tables as table_sinks
 from aforo.sources import files, reference, trade
@@ -121,25 +122,85 @@ def test_catalog_tables(spark):
     assert table_sinks.materialize(df, "facts_raw").count() == 3
     table_sinks.refresh_table(df.filter("k < 3"), "facts_raw")
     assert spark.table("facts_raw").count() == 2
-    table_sinks.delete_from(spark, "facts_raw", "f")
+    deletes.delete_from(spark, "facts_raw", "f")
     assert [r.k for r in spark.table("facts_raw").collect()] == [2]
     table_sinks.register_views({"vw_facts": spark.table("facts_raw")})
     assert spark.sql("SELECT count(*) FROM vw_facts").first()[0] == 1
     spark.sql("DROP TABLE facts_raw")
 
 
-def test_delete_keeps_partitions(spark, tmp_path):
+def test_delete_keeps_partitions(spark):
     df = spark.createDataFrame([(1, "a", True), (2, "b", None), (3, "b", False), (4, "c", True)], "k int, p string, f boolean")
     table_sinks.refresh_table(df, "facts_parted", partitions=["p"])
-    with pytest.raises(ValueError, match="partitioned"):
-        table_sinks.delete_from(spark, "facts_parted", "f")
-    assert spark.table("facts_parted").count() == 4
-    table_sinks.delete_from(spark, "facts_parted", "f", str(tmp_path / "rest"))
-    assert rows(spark.table("facts_parted").select("k", "p")) == [(2, "b"), (3, "b")]
-    assert [c.name for c in spark.catalog.listColumns("facts_parted") if c.isPartition] == ["p"]
-    assert [r.partition for r in spark.sql("SHOW PARTITIONS facts_parted").collect()] == ["p=b"]
-    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("facts_parted_")]
-    spark.sql("DROP TABLE facts_parted")
+    try:
+        assert deletes.delete_from(spark, "facts_parted", "f") == 2
+        assert rows(spark.table("facts_parted").select("k", "p")) == [(2, "b"), (3, "b")]
+        assert [c.name for c in spark.catalog.listColumns("facts_parted") if c.isPartition] == ["p"]
+        assert [r.partition for r in spark.sql("SHOW PARTITIONS facts_parted").collect()] == ["p=b"]
+        assert deletes.delete_from(spark, "facts_parted", "k > 9") == 0
+    finally:
+        spark.sql("DROP TABLE facts_parted")
+
+
+def parquet_files(path):
+    return {str(p.relative_to(path)): p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+
+
+PARTED = [(i, p, i % 5 == 0 or None) for i in range(40) for p in ("2021-1", "01", "a/b=c %41", None)]
+
+
+def parted(spark, path):
+    df = spark.createDataFrame(PARTED, "k int, p string, f boolean").repartition(4, "k")
+    df.write.partitionBy("p").parquet(str(path))
+    return lambda: rows(spark.read.schema("k int, f boolean, p string").parquet(str(path)).select("k", "p", "f"))
+
+
+def test_delete_writes_only_files_with_matching_rows(spark, tmp_path):
+    path = tmp_path / "my table"
+    read, before = parted(spark, path), None
+    before = parquet_files(path)
+    assert deletes.delete_rows(spark, str(path), "f AND p = '2021-1'") > 0
+    after = parquet_files(path)
+    assert {f: t for f, t in before.items() if "2021-1" not in f} == {f: t for f, t in after.items() if "2021-1" not in f}
+    assert read() == rows(spark.createDataFrame([r for r in PARTED if not (r[2] and r[1] == "2021-1")], "k int, p string, f boolean"))
+    deletes.delete_rows(spark, str(path), F.col("p") == "a/b=c %41")
+    deletes.delete_rows(spark, str(path), "p IS NULL AND k < 20 OR p = '01' AND k = 3")
+    want = [r for r in PARTED if not (r[2] and r[1] == "2021-1") and r[1] != "a/b=c %41"]
+    want = [r for r in want if not (r[1] is None and r[0] < 20) and not (r[1] == "01" and r[0] == 3)]
+    assert read() == sorted(want, key=repr)
+    assert len([p for p in path.iterdir() if p.is_dir()]) == 3
+    assert deletes.delete_rows(spark, str(path), "true") and not parquet_files(path)
+    assert deletes.delete_rows(spark, str(path), "true") == 0
+
+
+def test_a_broken_delete_is_completed_or_undone(spark, tmp_path, monkeypatch):
+    path, moved = tmp_path / "t", []
+    read = parted(spark, path)
+    move = deletes.move_path
+
+    def failing(*args):
+        moved.append(args)
+        if len(moved) > 1:
+            raise OSError("gone")
+        move(*args)
+
+    monkeypatch.setattr(deletes, "move_path", failing)
+    with pytest.raises(OSError):
+        deletes.delete_rows(spark, str(path), "k % 2 = 0")
+    monkeypatch.setattr(deletes, "move_path", move)
+    (path / "_delete-0" / "rows").mkdir(parents=True)
+    deletes.finish_deletes(spark, str(path))
+    assert read() == sorted([r for r in PARTED if r[0] % 2], key=repr)
+    assert not [p for p in path.iterdir() if p.name.startswith("_delete")]
+
+
+def test_delete_on_an_unpartitioned_table(spark, tmp_path):
+    path = tmp_path / "t"
+    spark.range(0, 100, 1, 4).write.parquet(str(path))
+    before = parquet_files(path)
+    assert deletes.delete_rows(spark, str(path), "id = 3") == 1
+    assert len(set(before) & set(parquet_files(path))) == 3
+    assert spark.read.parquet(str(path)).count() == 99
 
 
 def test_file_sinks(spark, tmp_path):

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from aforo.operators import catalogue, ledger, relational
 from aforo.plans.monthly_load import incremental_load
 from aforo.session import new_path
+from aforo.sinks import deletes
 from aforo.sinks import files as file_sinks
 from aforo.sinks import tables as table_sinks
 from aforo.sources import files, reference, trade
@@ -66,16 +67,16 @@ def _zip_writer(system, inner: str, stem: str):
 
 @query("archive_scan", CUSTOMER_SQL)
 def archive_scan(spark, sf):
-    """S-03 and S-06: zip archives, one per task, found by name and read by member."""
+    """S-03, S-06 and S-07: zip archives of two years, found by name and read by member; the older year is left."""
     folder = new_path(spark, "archives")
     system, inner = trade.file_system(folder)
     system.create_dir(inner)
     lines = customer_columns(spark, sf).select(
-        F.concat_ws(";", "c_custkey", "c_name", "c_nationkey", "c_mktsegment").alias("value")
+        "c_custkey", F.concat_ws(";", "c_custkey", "c_name", "c_nationkey", "c_mktsegment").alias("value")
     )
-    lines.mapInPandas(_zip_writer(system, inner, "import_2021"), "name string").write.format("noop").mode(
-        "overwrite"
-    ).save()
+    for stem, part in (("import_2020", lines.where("c_custkey % 3 = 0")), ("import_2021", lines)):
+        written = part.mapInPandas(_zip_writer(system, inner, stem), "name string")
+        written.write.format("noop").mode("overwrite").save()
     found = files.latest_files(files.trade_paths(spark, folder))
     return trade.read_trade_archives(spark, found, "Import", CUSTOMER_NAMES)
 
@@ -209,7 +210,30 @@ def country_folders(spark, sf):
     root = new_path(spark, "countries")
     everything = customers.withColumn("pais_nombre_origen", F.lit("TODOS"))
     file_sinks.export_by_country(customers, everything, root)
-    back = spark.read.parquet(root)
+    return folder_rows(spark.read.parquet(root))
+
+
+@query(
+    "country_folders_csv",
+    """
+    SELECT lower(c_mktsegment) AS serie, c_mktsegment AS pais_nombre_origen, count(*) AS rows
+    FROM customer GROUP BY ALL
+    UNION ALL SELECT 'all', 'TODOS', count(*) FROM customer
+    """,
+)
+def country_folders_csv(spark, sf):
+    """K-09 and K-08 as text: the same folders, and a report, as ``;`` files with a header."""
+    customers = table(spark, sf, "customer").selectExpr("c_custkey", "c_mktsegment AS pais_nombre_origen")
+    root = new_path(spark, "countries")
+    file_sinks.export_reports({"customers": customers}, root, fmt="csv")
+    schema = "c_custkey long, pais_nombre_origen string"
+    report = spark.read.schema(schema).options(sep=";", header="true").csv(f"{root}/customers")
+    everything = report.withColumn("pais_nombre_origen", F.lit("TODOS"))
+    file_sinks.export_by_country(report, everything, f"{root}/series", fmt="csv")
+    return folder_rows(spark.read.schema(f"{schema}, serie string").options(sep=";", header="true").csv(f"{root}/series"))
+
+
+def folder_rows(back):
     return back.groupBy("serie", "pais_nombre_origen").agg(F.count("*").alias("rows"))
 
 
@@ -276,10 +300,26 @@ def table_delete(spark, sf):
     )
     name = new_table("customer_copy")
     table_sinks.refresh_table(customers, name, new_path(spark, "customer-copy"), ["segment"])
-    table_sinks.delete_from(spark, name, "segment = 'BUILDING'", new_path(spark, "customer-rest"))
+    deletes.delete_from(spark, name, "segment = 'BUILDING'")
     return spark.table(name)
 
 
+@query(
+    "path_delete",
+    """
+    SELECT c_custkey, c_nationkey, c_mktsegment FROM customer
+    WHERE NOT coalesce(nullif(c_nationkey, 5) % 7 = 3 AND c_mktsegment <> 'FURNITURE', false)
+    """,
+)
+def path_delete(spark, sf):
+    """K-04 on a partitioned path table: files and partitions without matching rows stay as they are."""
+    path = new_path(spark, "customers")
+    customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    table_sinks.append_table(customers, path, "c_mktsegment")
+    deletes.delete_rows(spark, path, "nullif(c_nationkey, 5) % 7 = 3 AND c_mktsegment <> 'FURNITURE'")
+    return spark.read.schema(customers.schema).parquet(path)
+
+
 @query(
     "country_list_file",
     "SELECT 'all' AS country UNION ALL SELECT DISTINCT lower(c_mktsegment) FROM customer",
