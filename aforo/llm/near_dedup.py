@@ -5,14 +5,15 @@ keeps the least value of the first round that reached it, and later rounds aim a
 fill after at most twice as many rounds as coordinates and the share of equal coordinates concentrates around
 the Jaccard similarity. Equal bands of coordinates make candidates; links are confirmed on the full sets.
 
-Documents with equal sets are one node. Within a bucket the members are first compared with one pivot. Then, round
-by round, only members of different components are compared, by sketch, and each gets its most similar untried
-partners verified, until no pair is left that could link two components.
+Documents with equal sets are one node. Each node is first verified against one pivot, the least member of its largest
+bucket, which joins most of a family into one component. Then only members of different components meet, in the first
+bucket they share, dealt to tasks of bounded size: pairs whose sketches allow it are verified there, most similar first, until
+their components are one. A task hands on the links that joined two components and no other pair.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,8 @@ ROWS = 4
 # Sketches with a lower share of equal coordinates are not verified: over four standard deviations below 0.75.
 SHARE = 0.59
 SLOT = 1024
-PARTNERS = 4
+# Shingles that a task holds unpacked.
+HELD = 4_000_000
 VALUE = np.uint64((1 << 54) - 1)
 EMPTY = np.uint64((1 << 64) - 1)
 SIGNED = "id long, n long, node binary, bands binary, sketch binary, text_md5 string"
@@ -135,63 +137,66 @@ def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
     for batch in batches:
         linked = []
         for a, b, ta, tb in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            x, y = of(a, ta), of(b, tb)
-            if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                linked.append(False)
-                continue
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            linked.append(100 * common >= percent * (len(x) + len(y) - common))
+            linked.append(similar(of(a, ta), of(b, tb), percent))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], names=["a", "b", "linked"]
         )
 
 
-def _partners(group: pa.Table, most: int) -> pa.Table:
-    """Of each member of slot x, the most similar untried members of slot y in other components."""
-    rows = group.to_pydict()
-    n = group.num_rows
-    x, y = rows["x"][0], rows["y"][0]
-    slot = np.array(rows["slot"])
+class _Sets:
+    """The shingles of a task's members, unpacked when asked for and kept within a bound."""
+
+    def __init__(self, words: list[bytes]):
+        self.words, self.hashes, self.known, self.held = words, WordHashes(), {}, 0
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        if i not in self.known:
+            if self.held > HELD:
+                self.known.clear()
+                self.held = 0
+            self.known[i] = shingles(unsqueeze(self.words[i]), self.hashes)
+            self.held += len(self.known[i])
+        return self.known[i]
+
+
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """True when 100 * intersection >= ``percent`` * union of two sorted sets."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
+def _links(group: pa.Table, percent: int) -> pa.Table:
+    """Links between members of slots x and y that join two components, as this task sees them."""
+    rows, n = group.to_pydict(), group.num_rows
+    bucket, x, y = rows["bucket"][0], rows["x"][0], rows["y"][0]
+    slot, sets = np.array(rows["slot"]), _Sets(rows["words"])
     drawn = np.frombuffer(b"".join(rows["sketch"]), np.uint16).reshape(n, COORDINATES)
+    # A pair is looked at in the first of the buckets it shares: these are a member's by band, 0 where there is none.
+    bands = np.frombuffer(b"".join(rows["bands"]), np.int64).reshape(n, -1)
+    kept = np.array([np.where(np.isin(b, k), b, 0) for b, k in zip(bands, rows["kept"])])
     number: dict[bytes, int] = {}
     part = np.array([number.setdefault(c, len(number)) for c in rows["part"]])
-    position = {node: i for i, node in enumerate(rows["node"])}
-    tried = [[position[t] for t in (ts or ()) if t in position] for ts in rows["tried"]]
-    against = [set() for _ in range(n)]
-    for i, ts in enumerate(tried):
-        for t in ts:
-            against[i].add(t), against[t].add(i)
     left, right = np.flatnonzero(slot == x), np.flatnonzero(slot == y)
-    a, b, shares = [], [], []
+    a, b = [], []
     for i in left.tolist():
-        open_ = right[part[right] != part[i]]
+        others = right[part[right] != part[i]]
         if x == y:
-            open_ = open_[open_ < i]
-        if against[i] and len(open_):
-            open_ = open_[~np.isin(open_, list(against[i]))]
-        if not len(open_):
+            others = others[others < i]
+        if not len(others):
             continue
-        share = (drawn[open_] == drawn[i]).mean(axis=1)
-        good = open_[share >= SHARE]
-        good = good[np.argsort(-share[share >= SHARE], kind="stable")][:most]
-        a.extend([rows["node"][i]] * len(good))
-        b.extend(rows["node"][j] for j in good.tolist())
-        shares.extend((drawn[good] == drawn[i]).mean(axis=1).tolist())
-    return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()), "share": pa.array(shares, pa.float64())})
-
-
-def _picker(most: int) -> Callable[[pa.Table], pa.Table]:
-    def pick(group: pa.Table) -> pa.Table:
-        return _partners(group, most)
-
-    return pick
-
-
-def _closest(offers: DataFrame, most: int) -> DataFrame:
-    """The ``most`` most similar partners of each node over all its buckets; the others wait for a later round."""
-    ranked = F.array_sort(F.collect_set(F.struct((-F.col("share")).alias("away"), "b")))
-    chosen = offers.groupBy("a").agg(F.slice(ranked, 1, most).alias("partners"))
-    return chosen.select("a", F.explode("partners.b").alias("b"))
+        share = (drawn[others] == drawn[i]).mean(axis=1)
+        near = others[share >= SHARE]
+        near = near[np.argsort(-share[share >= SHARE], kind="stable")]
+        shared = (kept[near] == kept[i]) & (kept[i] != 0)
+        near = near[kept[i][shared.argmax(axis=1)] == bucket] if len(near) else near
+        for j in near.tolist():
+            if part[i] != part[j] and similar(sets[i], sets[j], percent):
+                part[part == part[j]] = part[i]
+                a.append(rows["node"][i])
+                b.append(rows["node"][j])
+    return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
 
 def _open_tasks(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -250,9 +255,9 @@ class NearDuplicates:
             "nodes",
         )
         self.members = self.stage.table(self._members(), "members")
-        asked = self.members.select("node").distinct()
-        asked = self.stage.table(self.nodes.join(asked, "node", "left_semi").select("node", "least", "sketch"), "asked")
-        self.sketches = asked.select("node", "sketch")
+        asked = self.members.groupBy("node").agg(F.collect_list("bucket").alias("kept"))
+        asked = self.stage.table(self.nodes.join(asked, "node").select("node", "least", "sketch", "bands", "kept"), "asked")
+        self.known = asked.select("node", "sketch", "bands", "kept")
         # By key and digest, so that neither a repeated nor a NULL key brings its rows together with all nodes it has.
         rows = lookup_join(
             source.withColumn("k", F.struct("id")),
@@ -296,18 +301,16 @@ class NearDuplicates:
 
     def labels(self) -> DataFrame:
         """(node, label) of every linked node."""
-        stage, most = self.stage, PARTNERS
-        tried = stage.table(self._verified(self._pivots()), "verified")
-        while True:
-            labels = components(tried.where("linked").select("a", "b"), stage)
-            tasks = _open_tasks(self.members, labels).join(self.sketches, "node")
-            refuted = tried.where("NOT linked").groupBy(F.col("a").alias("node"))
-            tasks = tasks.join(refuted.agg(F.collect_set("b").alias("tried")), "node", "left")
-            offers = tasks.groupBy("bucket", "x", "y").applyInArrow(_picker(most), "a binary, b binary, share double")
-            found = stage.table(self._verified(_closest(offers, most)), "verified")
-            if found.isEmpty():
-                return labels
-            tried, most = tried.unionByName(found), most * 8
+        stage, percent = self.stage, self.percent
+        links = stage.table(self._verified(self._pivots()).where("linked").select("a", "b"), "pivots")
+        labels = components(links, stage)
+        tasks = _open_tasks(self.members, labels).join(self.known, "node").join(self.texts, "node")
+
+        def linked(group: pa.Table) -> pa.Table:
+            return _links(group, percent)
+
+        found = stage.table(tasks.groupBy("bucket", "x", "y").applyInArrow(linked, "a binary, b binary"), "links")
+        return labels if found.isEmpty() else components(links.unionByName(found), stage)
 
 
 def groups(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
