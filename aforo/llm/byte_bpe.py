@@ -10,7 +10,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
-from functools import partial
+from functools import cached_property, partial
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +25,7 @@ from aforo.llm.common import give_back, pack_ints, pack_strings, unpack_ints, un
 
 # Text whose distinct words one bucket takes.
 BUCKET_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 FINE = 1 << 16
 
 ENCODED = "id long, n_tokens long, ids binary, decoded binary"
@@ -33,10 +34,43 @@ REQUEST = "bucket int, block long, name long, words binary"
 RESPONSE = "block long, name long, bucket int, sizes binary, ids binary"
 
 
-def read_ranks(path: str) -> dict[bytes, int]:
-    """The rank file's token bytes and ids. A vocabulary has a fixed size, so tasks may carry it whole."""
+class Ranks(dict):
+    """Token bytes and ids of a rank file, which travels with the tasks compressed.
+
+    A vocabulary has a fixed size, so tasks may carry it whole; encoder and token-byte table are made once in each task.
+    """
+
+    def __reduce__(self):
+        tokens = list(self)
+        return Ranks._loaded, (pack_strings(tokens), pack_ints(np.array([self[t] for t in tokens], np.uint32)))
+
+    @classmethod
+    def _loaded(cls, tokens: bytes, ids: bytes) -> Ranks:
+        return cls(zip(unpack_strings(tokens), unpack_ints(ids).tolist()))
+
+    def encoder(self, pattern: str) -> tiktoken.Encoding:
+        made = self.__dict__.setdefault("encoders", {})
+        if pattern not in made:
+            made[pattern] = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=self, special_tokens={})
+        return made[pattern]
+
+    @cached_property
+    def pieces(self) -> list[bytes]:
+        """The bytes of every id."""
+        out = [b""] * (max(self.values(), default=-1) + 1)
+        for token, i in self.items():
+            out[i] = token
+        return out
+
+    @cached_property
+    def names(self) -> list[str]:
+        return [str(i) for i in range(len(self.pieces))]
+
+
+def read_ranks(path: str) -> Ranks:
+    """The rank file's token bytes and ids."""
     with open(path, "rb") as lines:
-        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        return Ranks((base64.b64decode(token), int(rank)) for token, rank in map(bytes.split, lines))
 
 
 def _fine(word: bytes) -> int:
@@ -74,12 +108,12 @@ def _requests(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Re
                     )
 
 
-def _encode(table: pa.Table, ranks: dict[bytes, int], pattern: str) -> pa.Table:
+def _encode(table: pa.Table, ranks: Ranks, pattern: str) -> pa.Table:
     """All requests of a bucket: each distinct word is encoded once."""
-    encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    encoding = ranks.encoder(pattern)
     known: dict[bytes, list[int]] = {}
     out = {"block": [], "name": [], "bucket": [], "sizes": [], "ids": []}
-    for row in table.to_pylist():
+    for row in _each(table):
         ids, sizes = [], []
         for word in unpack_strings(row["words"]):
             got = known.get(word)
@@ -106,15 +140,21 @@ def _encode(table: pa.Table, ranks: dict[bytes, int], pattern: str) -> pa.Table:
     )
 
 
+def _each(table: pa.Table) -> Iterator[dict]:
+    """The rows one by one: a group's compressed values are not all copied at once."""
+    for i in range(table.num_rows):
+        yield table.slice(i, 1).to_pylist()[0]
+
+
 def _documents(blocks: pa.Table, answers: pa.Table, buckets: int) -> Iterator[tuple]:
     """(key, ids of the whole text) of each document of a block, in its order."""
-    parts = sorted(answers.to_pylist(), key=lambda r: r["bucket"])
-    sizes = [unpack_ints(r["sizes"]) for r in parts]
+    answers = answers.sort_by("bucket")
+    sizes = [unpack_ints(b) for b in answers.column("sizes").to_pylist()]
     sizes = np.concatenate(sizes).astype(np.int64) if sizes else np.empty(0, np.int64)
-    ids = [unpack_ints(r["ids"]) for r in parts]
+    ids = [unpack_ints(b) for b in answers.column("ids").to_pylist()]
     ids = np.concatenate(ids) if ids else np.empty(0, np.uint32)
     starts = np.cumsum(sizes) - sizes
-    for row in blocks.to_pylist():
+    for row in _each(blocks):
         placed, _ = _grouped(row["marks"], buckets)
         answer = np.empty(len(placed), np.int64)
         if len(sizes) != len(placed):
@@ -131,14 +171,12 @@ def _documents(blocks: pa.Table, answers: pa.Table, buckets: int) -> Iterator[tu
             yield key, ids[np.repeat(starts[words] - before, n) + np.arange(total)]
 
 
-def _reassemble(
-    blocks: pa.Table, answers: pa.Table, buckets: int, table: list[bytes], digest: bool
-) -> pa.Table:
-    names = [str(i) for i in range(len(table))]
+def _reassemble(blocks: pa.Table, answers: pa.Table, buckets: int, ranks: Ranks, digest: bool) -> pa.Table:
+    pieces, names = ranks.pieces, ranks.names
     keys, counts, left, right = [], [], [], []
     for key, ids in _documents(blocks, answers, buckets):
         listed = ids.tolist()
-        decoded = b"".join([table[i] for i in listed])
+        decoded = b"".join([pieces[i] for i in listed])
         keys.append(key)
         counts.append(len(listed))
         if digest:
@@ -182,7 +220,8 @@ def encode(
     def split(raw: bytes) -> list[str]:
         return compiled.findall(raw.decode("utf-8", "replace"))
 
-    blocks = packed(df, key, text, split, lambda w: w.encode("utf-8"), _marks)
+    ranks = ranks if isinstance(ranks, Ranks) else Ranks(ranks)
+    blocks = packed(df, key, text, split, lambda w: w.encode("utf-8"), _marks, block_bytes=BLOCK_BYTES)
     volume = df.agg(F.sum(F.octet_length(F.col(f"`{text}`")).cast("long"))).first()[0] or 0
     buckets = int(min(FINE, max(df.sparkSession.sparkContext.defaultParallelism, volume // bucket_bytes)))
     requests = blocks.select("block", "name", "vocabulary", "marks").mapInArrow(
@@ -190,15 +229,13 @@ def encode(
     )
 
     def encode_bucket(requested: pa.Table) -> pa.Table:
-        return _encode(requested, ranks, pattern)
+        out = _encode(requested, ranks, pattern)
+        give_back()
+        return out
 
     answers = requests.groupBy("bucket").applyInArrow(encode_bucket, RESPONSE)
-    decoded = [b""] * (max(ranks.values()) + 1)
-    for token, rank in ranks.items():
-        decoded[rank] = token
-
     def reassemble(asked: pa.Table, answered: pa.Table) -> pa.Table:
-        return _reassemble(asked, answered, buckets, decoded, digest)
+        return _reassemble(asked, answered, buckets, ranks, digest)
 
     out = (
         blocks.select("block", "name", "ids", "sizes", "marks", "sequence")

@@ -197,8 +197,8 @@ def fit(
 ) -> Model | float:
     """The model of at most ``sample`` labelled keys, or a constant score if fewer than two labels occur.
 
-    A key with several labels has the one that most of them give (1 on a tie). Rows with a NULL key or label,
-    and labels of absent documents, are not used.
+    A key with several labels has the one that most of them give (1 on a tie), one with several documents the least
+    of their texts. Rows with a NULL key or label, and labels of absent documents, are not used.
     """
     named = (
         labels.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{label}`").cast("double").alias("y"))
@@ -209,7 +209,8 @@ def fit(
         .limit(sample)
     )
     texts = id_and_text(documents, key, text).join(F.broadcast(named), "id").select("id", "text")
-    texts = texts.repartition(TASKS, "id")
+    # Copies of a key fall together in the map tasks, so a key on many rows is one text here.
+    texts = texts.groupBy("id").agg(F.min("text").alias("text")).repartition(TASKS, "id")
     index, total = index_vectors(), np.zeros((BUCKETS, WIDTH), np.float64)
     for row in texts.mapInArrow(_neighbours, "sums binary").collect():
         total += np.frombuffer(row.sums, np.float32).reshape(BUCKETS, WIDTH)

@@ -462,3 +462,15 @@ def test_recall_of_planted_pairs():
         share.append((a == b).mean())
         found += bands and share[-1] >= near_dedup.SHARE
     assert found == 600 and min(share) >= near_dedup.SHARE + 0.02
+
+
+def test_quality_model_takes_a_repeated_key_once(spark, documents):  # noqa: F811
+    """A labelled key on a third of the rows, and labels in a tie, give the model of one row a key."""
+    good, bad = (lambda n: prose(n, 60, 300)), (lambda n: "!!! buy " + prose(n, 60, 3000).upper())
+    rows = [(n, good(n) if n % 2 else bad(n)) for n in range(60)]
+    labels = spark.createDataFrame([(n, n % 2) for n in range(60)] + [(7, 0)], "doc_id long, quality int")
+    once = quality_classifier.fit(documents(rows), labels)
+    often = quality_classifier.fit(documents(rows + [rows[7]] * 30 + [(7, "\uffff" + rows[7][1])]), labels)
+    assert np.array_equal(once.vectors, often.vectors)
+    scored = quality_classifier.score(documents(rows), often).collect()
+    assert np.mean([(r.score >= 0.5) == r.doc_id % 2 for r in scored]) > 0.9
