@@ -6,7 +6,7 @@ ranges, give what a limit cuts off, keeps whole and uses in total.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import regex
@@ -14,7 +14,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aforo.llm.common import CACHE_WORDS, give_back, id_and_text, tidied
+from aforo.llm.common import CACHE_WORDS, Staging, give_back, id_and_text, tidied
 
 RANGE = 1024
 
@@ -58,8 +58,10 @@ def limits(lengths: DataFrame, length: str = "n_tokens", width: int = RANGE) ->
     the least L with a share of q or more is the exact q-quantile of the lengths. NULL lengths are left out.
     An empty input gives no rows.
 
-    The suffix sums run within ranges of ``width`` lengths, and over one row per range.
+    The suffix sums run within ranges of ``width`` lengths, and over one row per range. The histogram is staged, so that
+    the texts behind ``lengths`` are encoded once.
     """
+    stage = Staging(lengths.sparkSession, "lengths")
     histogram = (
         lengths.where(F.col(length).isNotNull())
         .groupBy(F.col(length).cast("long").alias("context_limit"))
@@ -67,6 +69,7 @@ def limits(lengths: DataFrame, length: str = "n_tokens", width: int = RANGE) ->
         .withColumn("range", F.floor(F.col("context_limit") / width))
         .withColumn("tokens", F.col("context_limit") * F.col("documents"))
     )
+    histogram = stage.table(histogram, "histogram")
     after = Window.orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ranges = histogram.groupBy("range").agg(F.sum("documents").alias("d"), F.sum("tokens").alias("t"))
@@ -94,3 +97,40 @@ def limits(lengths: DataFrame, length: str = "n_tokens", width: int = RANGE) ->
         (F.col("t_all") - F.col("longer_tokens")).alias("whole_tokens"),
         ((F.col("d_all") - F.col("longer")) / F.col("d_all")).alias("share"),
     )
+
+
+def at_limits(summed: DataFrame, wanted: Sequence[int]) -> DataFrame:
+    """Totals for given context limits, whether a document has that length or not, from the rows of ``limits``.
+
+    One row per limit: ``context_limit``, ``kept_tokens``, ``cut_tokens``, ``whole_tokens``, ``share`` of documents that fit.
+    Between two lengths the kept tokens grow by the longer documents with every token. One pass, one row before it is unfolded.
+    """
+    least = lambda w: F.max(
+        F.when(F.col("context_limit") <= w, F.struct("context_limit", "longer", "kept_tokens", "whole_tokens", "share"))
+    )
+    all_ = F.max(F.col("documents") + F.col("longer"))
+    answers = []
+    for w in wanted:
+        below, zero = least(w), F.lit(0).cast("long")
+        kept = F.when(below.isNull(), all_ * w).otherwise(below["kept_tokens"] + below["longer"] * (w - below["context_limit"]))
+        answers.append(
+            F.struct(
+                F.lit(w).cast("long").alias("context_limit"),
+                kept.cast("long").alias("kept_tokens"),
+                (F.max("total_tokens") - kept).cast("long").alias("cut_tokens"),
+                F.coalesce(below["whole_tokens"], zero).alias("whole_tokens"),
+                F.coalesce(below["share"], F.lit(0.0)).alias("share"),
+            )
+        )
+    found = summed.agg(F.count("*").alias("n"), F.array(*answers).alias("answers")).where("n > 0")
+    return found.select(F.explode("answers").alias("a")).select("a.*")
+
+
+def quantiles(summed: DataFrame, shares: Sequence[float]) -> DataFrame:
+    """(share, length): the least length that the given share of documents does not exceed, exact, from ``limits``."""
+    answers = [
+        F.struct(F.lit(float(q)).alias("share"), F.min(F.when(F.col("share") >= q, F.col("context_limit"))).alias("length"))
+        for q in shares
+    ]
+    found = summed.agg(F.count("*").alias("n"), F.array(*answers).alias("answers")).where("n > 0")
+    return found.select(F.explode("answers").alias("a")).select("a.*")

@@ -258,6 +258,16 @@ def test_limits_equal_brute_force(spark, documents):
         assert r.whole_tokens == sum(n for n in sizes if n <= limit)
         assert r.share == pytest.approx(sum(n <= limit for n in sizes) / len(sizes))
     assert token_counts.limits(counted.limit(0)).count() == 0
+    summed, wanted = token_counts.limits(counted, width=16), [0, 1, 2, 77, 2048, 10**6]
+    for r in token_counts.at_limits(summed, wanted).collect():
+        w = r.context_limit
+        assert r.kept_tokens == sum(min(n, w) for n in sizes) and r.cut_tokens == sum(sizes) - r.kept_tokens
+        assert r.whole_tokens == sum(n for n in sizes if n <= w)
+        assert r.share == pytest.approx(sum(n <= w for n in sizes) / len(sizes))
+    got = {r.share: r.length for r in token_counts.quantiles(summed, [0.1, 0.5, 0.9, 1.0]).collect()}
+    assert got == {q: sorted(sizes)[math.ceil(q * len(sizes)) - 1] for q in got} and len(got) == 4
+    empty = token_counts.limits(counted.limit(0))
+    assert token_counts.at_limits(empty, [5]).count() == token_counts.quantiles(empty, [0.5]).count() == 0
 
 
 # 7 language model
