@@ -36,6 +36,45 @@ def monthly_by_country(
     )
 
 
+def monthly_state(
+    df: DataFrame,
+    quantity: str,
+    prices: Sequence[str],
+    also: Sequence[str] = (),
+    month: str = MONTH,
+    country: str = COUNTRY,
+    names: Sequence[str] = PRICES,
+    quantity_name: str = QUANTITY,
+) -> DataFrame:
+    """What :func:`monthly_by_country` is made from, in a form that can be added up: sums and counts.
+
+    ``also`` are columns to group by besides, such as the period by which the state is stored.
+    """
+    return (
+        df.filter(F.col(month).isNotNull() & F.col(country).isNotNull())
+        .groupBy(*also, month, country)
+        .agg(
+            F.coalesce(F.sum(quantity), F.lit(0)).alias(quantity_name),
+            *[F.sum(p).alias(f"{n}_sum") for p, n in zip(prices, names, strict=True)],
+            *[F.count(p).alias(f"{n}_count") for p, n in zip(prices, names, strict=True)],
+        )
+    )
+
+
+def monthly_from_state(
+    state: DataFrame,
+    month: str = MONTH,
+    country: str = COUNTRY,
+    names: Sequence[str] = PRICES,
+    quantity_name: str = QUANTITY,
+) -> DataFrame:
+    """The rows of :func:`monthly_by_country` from any number of states."""
+    return state.groupBy(month, country).agg(
+        F.sum(quantity_name).alias(quantity_name),
+        *[(F.sum(f"{n}_sum") / F.nullif(F.sum(f"{n}_count"), F.lit(0))).alias(n) for n in names],
+    )
+
+
 def monthly_all(
     df: DataFrame,
     label: str,

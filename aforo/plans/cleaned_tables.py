@@ -55,6 +55,16 @@ def _state(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], STATE)
 
 
+def _stamps(spark: SparkSession, path: str) -> dict[str, str]:
+    """The stamps of a table that may not be there yet; one entry a month."""
+    try:
+        return {r[PERIOD]: r["stamp"] for r in period_stamps(spark, path).collect()}
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNRESOLVED_COLUMN.WITH_SUGGESTION", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return {}
+
+
 def changed_periods(state: DataFrame, stamps: DataFrame, version: str) -> DataFrame:
     """(period, action): ``build`` what is new or made from something else, ``remove`` what the facts lack."""
     now = stamps.select(PERIOD, F.col("stamp").alias("now"))
@@ -74,7 +84,7 @@ def refresh_cleaned(
 ) -> DataFrame:
     """Bring the cleaned table at ``path`` up to date with the facts at the path ``facts``; returns the changed periods.
 
-    ``build`` makes cleaned rows from facts row by row, with the period kept. The periods are calendar months, so their list may
+    ``build`` makes rows from those of some periods, with the period kept and none from two periods together. The periods are calendar months, so their list may
     pass through the driver; the facts' other periods are not read and the table's others not written. The state is
     written last: after a failure the next refresh does the same periods again.
     """
@@ -85,7 +95,11 @@ def refresh_cleaned(
     rebuilt = [p for p, action in listed.items() if action == "build"]
     if rebuilt:
         rows = spark.read.parquet(facts).where(F.col(PERIOD).cast("string").isin(rebuilt))
+        before = _stamps(spark, path)
         replace_periods(build(rows), path)
+        after = _stamps(spark, path)
+        # A period that no longer gives rows was not written, so its old rows are still there.
+        listed |= {p: "remove" for p in rebuilt if p in before and before[p] == after.get(p)}
     for period, action in listed.items():
         if action == "remove":
             drop_path(spark, partition_path(path, PERIOD, period))

@@ -31,17 +31,20 @@ class LoadResult:
         return any(self.loaded.values())
 
 
-def incremental_load(
-    spark: SparkSession, paths: Mapping[str, str], incoming: Mapping[str, DataFrame]
-) -> LoadResult:
-    """Bring each table at ``paths[trade]`` up to date with ``incoming[trade]``.
+def plan_load(
+    spark: SparkSession, paths: Mapping[str, str], like: Mapping[str, DataFrame], incoming: DataFrame
+) -> DataFrame:
+    """The periods to load or replace, from the ledger of what comes in; ``like`` has the tables' columns.
 
-    A table whose path holds nothing yet counts as empty. Running it again changes nothing. The
-    list of periods is staged before any write, since the writes change what it is derived from.
+    A table whose path holds nothing yet counts as empty. The list is staged before any write, since the
+    writes change what it is derived from.
     """
-    tables = {t: _existing(spark, path, incoming[t]) for t, path in paths.items()}
-    compared = compare_ledgers(loaded_ledger(tables), incoming_ledger(incoming))
-    periods = staged(load_plan(compared), "load-plan")
+    tables = {t: _existing(spark, path, like[t]) for t, path in paths.items()}
+    return staged(load_plan(compare_ledgers(loaded_ledger(tables), incoming)), "load-plan")
+
+
+def load_periods(paths: Mapping[str, str], incoming: Mapping[str, DataFrame], periods: DataFrame) -> LoadResult:
+    """Write the planned periods of every table in place of what it holds for them."""
     loaded = {}
     for trade, path in paths.items():
         loaded[trade] = not periods.filter(F.col(TRADE) == trade).isEmpty()
@@ -50,6 +53,13 @@ def incremental_load(
     return LoadResult(periods, loaded)
 
 
+def incremental_load(
+    spark: SparkSession, paths: Mapping[str, str], incoming: Mapping[str, DataFrame]
+) -> LoadResult:
+    """Bring each table at ``paths[trade]`` up to date with ``incoming[trade]``. Running it again changes nothing."""
+    return load_periods(paths, incoming, plan_load(spark, paths, incoming, incoming_ledger(incoming)))
+
+
 def _existing(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     try:
         return spark.read.schema(like.schema).parquet(path)

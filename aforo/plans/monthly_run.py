@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from aforo import fixed_values as fx
@@ -12,11 +13,12 @@ from aforo.operators.rates import currency_converter
 from aforo.operators.series import chart_feed
 from aforo.plans import reports
 from aforo.plans.cleaned_tables import refresh_cleaned, version_of
-from aforo.plans.monthly_load import LoadResult, incremental_load, refresh_reports_if
+from aforo.plans.monthly_load import LoadResult, load_periods, plan_load, refresh_reports_if
 from aforo.plans.price_series import price_series
-from aforo.session import drop_path, new_path
+from aforo.session import drop_path, new_path, staged
 from aforo.sinks.files import export_by_country, export_reports, write_country_list
-from aforo.sinks.tables import materialize, register_path
+from aforo.sinks.tables import materialize, register_path, replace_table
+from aforo.sources import landing
 from aforo.sources.files import latest_files, read_manifest, trade_paths
 from aforo.sources.reference import rate_rejects, read_dimensions, read_rates
 from aforo.sources.trade import read_trade_archives
@@ -48,6 +50,10 @@ class Layout:
     def fact_paths(self) -> dict[str, str]:
         return {t: f"{self.facts}/{t}" for t in SPECS}
 
+    def manifest(self) -> str:
+        """Where it is written which archives were landed, and the rows of each period they hold."""
+        return f"{self.facts}/manifest"
+
     def cleaned(self, trade: str) -> str:
         """Where the cleaned rows of ``imports`` or ``exports`` lie, by period."""
         return f"{self.output}/cleaned/{trade}_raw"
@@ -57,32 +63,71 @@ class Layout:
         return f"{self.output}/rejects/{name}"
 
 
-def land(spark: SparkSession, layout: Layout, folder: str) -> dict[str, DataFrame]:
-    """The latest year's declarations as text, written below ``folder``.
+def land(spark: SparkSession, layout: Layout, folder: str, archives: DataFrame) -> dict[str, DataFrame]:
+    """The declarations of the archives as text, written below ``folder``, with the archive in ``path``.
 
     A member of an archive can only be read from its start by one task, so the parsed text is
     staged as Parquet once. The ledger then reads the date key only, and filters on keys do not
     parse the records again.
     """
-    found = latest_files(trade_paths(spark, layout.archives, layout.sample))
     out = {}
     for table, prefix, names in (
         ("imports", "Import", layout.import_names),
         ("exports", "Export", layout.export_names),
     ):
         # A zip may hold both kinds; the member name decides.
-        landed = read_trade_archives(spark, found, prefix, read_manifest(spark, names))
+        landed = read_trade_archives(spark, archives, prefix, read_manifest(spark, names), keep=["path"])
         landed.write.parquet(f"{folder}/{table}")
         out[table] = spark.read.schema(landed.schema).parquet(f"{folder}/{table}")
     return out
 
 
-def write_rejects(spark: SparkSession, layout: Layout, landed: dict[str, DataFrame]) -> None:
-    """Every value of this run's files that the load drops or nulls, in place of the last run's."""
-    rejects = {t: reports.load_rejects(df, SPECS[t]) for t, df in landed.items()}
-    rejects["rates"] = rate_rejects(spark, layout.rates, decimal_comma=layout.decimal_comma)
-    for name, df in rejects.items():
-        df.write.mode("overwrite").parquet(layout.rejects(name))
+def write_rejects(spark: SparkSession, layout: Layout, found: DataFrame, landed: dict[str, DataFrame]) -> None:
+    """Every value of the present archives that the load drops or nulls, with its archive.
+
+    Those of archives that were not landed this time are kept, those of archives that are gone or replaced are not.
+    """
+    for trade, df in landed.items():
+        rejects = reports.load_rejects(df, SPECS[trade], ["path"])
+        read = df.select("path").distinct()
+        try:
+            earlier = spark.read.schema(rejects.schema).parquet(layout.rejects(trade))
+            earlier = earlier.join(found, "path", "left_semi").join(read, "path", "left_anti")
+            rejects = rejects.unionByName(earlier)
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+        replace_table(rejects, layout.rejects(trade))
+    rates = rate_rejects(spark, layout.rates, decimal_comma=layout.decimal_comma)
+    rates.write.mode("overwrite").parquet(layout.rejects("rates"))
+
+
+def load_archives(spark: SparkSession, layout: Layout, folder: str) -> LoadResult:
+    """Bring the fact tables up to date with the archives of the latest year.
+
+    The manifest tells which archives were landed before and what they hold, so a run unpacks those that are new or
+    replaced and, of the others, those with rows of a period that is loaded. It is written last: a run that fails is
+    repeated by the next one.
+    """
+    found = latest_files(trade_paths(spark, layout.archives, layout.sample)).select(*landing.VERSION)
+    found = staged(found.distinct(), "archives")
+    known = staged(landing.unchanged(found, landing.read_manifest_table(spark, layout.manifest())), "known")
+    fresh = staged(landing.new_archives(found, known), "fresh")
+    first = land(spark, layout, f"{folder}/fresh", fresh)
+    facts = {t: reports.derive_keys(df, SPECS[t], layout.strict) for t, df in first.items()}
+    counts = staged(landing.counted(fresh, facts), "counts")
+    like = {t: df.drop("path") for t, df in facts.items()}
+    periods = plan_load(spark, layout.fact_paths(), like, landing.manifest_ledger(known, counts))
+    again = staged(landing.archives_of(known, periods), "again")
+    landed = first
+    if not again.isEmpty():
+        more = land(spark, layout, f"{folder}/again", again)
+        landed = {t: df.unionByName(more[t]) for t, df in first.items()}
+    write_rejects(spark, layout, found, landed)
+    whole = {t: reports.derive_keys(df, SPECS[t], layout.strict).drop("path") for t, df in landed.items()}
+    result = load_periods(layout.fact_paths(), whole, periods)
+    landing.write_manifest(known.unionByName(counts), layout.manifest())
+    return result
 
 
 def refresh_reference(
@@ -149,10 +194,7 @@ def monthly_run(
     dims, converter = refresh_reference(spark, layout, as_of)
     folder = new_path(spark, "landed")
     try:
-        landed = land(spark, layout, folder)
-        write_rejects(spark, layout, landed)
-        facts = {t: reports.derive_keys(df, SPECS[t], layout.strict) for t, df in landed.items()}
-        result = incremental_load(spark, layout.fact_paths(), facts)
+        result = load_archives(spark, layout, folder)
     finally:
         drop_path(spark, folder)
     if always_rebuild:

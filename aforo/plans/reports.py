@@ -142,8 +142,9 @@ def undated_rejects(landed: DataFrame, spec: TradeSpec) -> DataFrame:
     return keys.drop_undated(landed, spec.date_key).filter(fecha.isNull())
 
 
-def load_rejects(landed: DataFrame, spec: TradeSpec) -> DataFrame:
+def load_rejects(landed: DataFrame, spec: TradeSpec, keep: Sequence[str] = ()) -> DataFrame:
     """Every landed value that the load cannot use: record, column, text, reason, and if its row is dropped.
+    ``keep`` names columns of the landed rows that go along.
 
     A date key that is missing or no date and a customs code without digits drop the row; a code that
     is no integer and an amount that is no number are NULL in it.
@@ -180,7 +181,8 @@ def load_rejects(landed: DataFrame, spec: TradeSpec) -> DataFrame:
         keys.reference_id(spec.document, spec.item, schema=landed.schema).alias("reference_id"),
         # Not compacted first: the filter that Spark infers from it would repeat all rules in one method.
         F.explode(F.array(*found)).alias("fault"),
-    ).filter(F.col("fault").isNotNull()).select("reference_id", "fault.*")
+        *keep,
+    ).filter(F.col("fault").isNotNull()).select(*keep, "reference_id", "fault.*")
 
 
 def cleaned(facts: DataFrame, dims: Mapping[str, DataFrame], spec: TradeSpec) -> DataFrame:

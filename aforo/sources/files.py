@@ -31,7 +31,7 @@ def trade_paths(
     prefixes: Sequence[str] = ("import", "export"),
     extension: str = ".zip",
 ) -> DataFrame:
-    """Files below ``root`` by name prefix and extension, as (trade_type, file_name, path, length).
+    """Files below ``root`` by name prefix and extension, as (trade_type, file_name, path, length, modified).
 
     ``sample`` takes the files with ``sample`` in the name and leaves the others, or the other way
     round. Only the listing is read: the content column is pruned.
@@ -40,7 +40,7 @@ def trade_paths(
         spark.read.format("binaryFile")
         .option("pathGlobFilter", f"*{extension}")
         .load(root)
-        .select("path", "length")
+        .select("path", "length", F.col("modificationTime").alias("modified"))
         .withColumn("file_name", file_name())
     )
     trade = F.regexp_extract("file_name", f"^({'|'.join(prefixes)})", 1)
@@ -48,7 +48,7 @@ def trade_paths(
     return (
         listed.withColumn("trade_type", trade)
         .filter((F.col("trade_type") != "") & (marked if sample else ~marked))
-        .select("trade_type", "file_name", "path", "length")
+        .select("trade_type", "file_name", "path", "length", "modified")
     )
 
 

@@ -6,6 +6,7 @@ import io
 import sys
 import zipfile
 from collections.abc import Iterator, Sequence
+from functools import partial
 
 import pandas as pd
 from pyspark.cloudpickle import register_pickle_by_value
@@ -13,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aforo.session import staged
 from aforo.sources.files import sanitize_names
+from aforo.sources.quoted import LONGEST_RECORD, read_records, split_parity
 
 # The archive readers travel with the tasks, so executors need no copy of this package.
 register_pickle_by_value(sys.modules[__name__])
@@ -29,12 +32,24 @@ def text_schema(names: Sequence[str]) -> T.StructType:
 
 
 def read_trade(
-    spark: SparkSession, paths: str | Sequence[str], names: Sequence[str], **options: str
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    names: Sequence[str],
+    quoted_line_ends: bool | None = None,
+    **options: str,
 ) -> DataFrame:
     """``;`` files without header, all of one layout, as one frame of text columns.
 
-    A line with another number of fields fails the job.
+    A line with another number of fields fails the job. Quoted fields may hold line ends, wherever a file is split;
+    ``quoted_line_ends`` says if there are any, None finds out with a scan that counts quotes. Files without any go to
+    Spark's own reader.
     """
+    parity = None
+    if quoted_line_ends is None:
+        parity = staged(split_parity(spark, paths), "parity")
+        quoted_line_ends = not parity.where("odd_lines > 0").isEmpty()
+    if quoted_line_ends:
+        return parse_records(read_records(spark, paths, parity=parity), names, **options)
     return (
         spark.read.schema(text_schema(names))
         # Without all columns parsed, a pruned scan would not notice a wrong number of fields.
@@ -70,26 +85,46 @@ def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"path": path, "member": names}, dtype="object")
 
 
-def _records(lines: Iterator[str]) -> Iterator[str]:
-    """Lines to records: a line end inside quotes belongs to the record."""
+def _lines(text: io.TextIOBase) -> Iterator[str]:
+    """Lines of a stream, a longer one than a record may be in pieces."""
+    while piece := text.readline(LONGEST_RECORD + 1):
+        yield piece
+
+
+def _records(lines: Iterator[str], fields: int | None = None, longest: int = LONGEST_RECORD) -> Iterator[str]:
+    """Lines to records: a line end inside quotes belongs to the record.
+
+    A quote that is never closed would take in the rest of the member. With the number of ``fields`` known a record
+    fails as soon as it has more of them, counted up to its last complete line, and in any case at ``longest`` characters.
+    """
     pending: list[str] = []
-    inside = False
-    for line in lines:
+    inside, size, found = False, 0, 1
+    for number, line in enumerate(lines, 1):
+        # Separators count where an even number of quotes stands before them.
+        found += sum(part.count(SEPARATOR) for part in line.split('"')[inside::2])
         pending.append(line)
+        size += len(line)
         inside ^= line.count('"') % 2 == 1
-        if not inside:
+        if (fields and found > fields) or size > longest:
+            raise ValueError(
+                f"malformed record: {found} fields in {size} characters up to line {number}, where "
+                f"{fields or 'some'} fields are due: {pending[0][:80]!r}"
+            )
+        if not inside and line.endswith(("\n", "\r")):
             yield "".join(pending).rstrip("\r\n")
-            pending = []
+            pending, size, found = [], 0, 1
     if pending:
+        if inside:
+            raise ValueError(f"malformed record: a quote is not closed: {pending[0][:80]!r}")
         yield "".join(pending).rstrip("\r\n")
 
 
-def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _decode(batches: Iterator[pd.DataFrame], fields: int | None = None) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for path, member in zip(batch["path"], batch["member"], strict=True):
             with _open(path) as raw, zipfile.ZipFile(raw) as archive, archive.open(member) as data:
                 start, block = 1, []
-                for record in _records(io.TextIOWrapper(data, encoding="utf-8", newline="")):
+                for record in _records(_lines(io.TextIOWrapper(data, encoding="utf-8", newline="")), fields):
                     block.append(record)
                     if len(block) == BATCH:
                         yield _block(path, member, start, block)
@@ -110,10 +145,13 @@ def _block(path: str, member: str, start: int, values: list[str]) -> pd.DataFram
 
 
 def read_archives(
-    spark: SparkSession, archives: DataFrame, prefix: str, tasks: int | None = None
+    spark: SparkSession, archives: DataFrame, prefix: str, tasks: int | None = None, fields: int | None = None
 ) -> DataFrame:
     """Records of the ``.txt`` members whose base name starts with ``prefix``.
 
+    With the number of ``fields`` given, the first record that has more fails the job, so that an unclosed quote
+    never gathers a member in one task.
+
     ``archives`` has a ``path`` column, as ``trade_paths`` gives. Columns: path, member, line_no,
     value. The archives are listed first and the members then spread over ``tasks`` tasks, so one
     task streams one member at a time in small batches, whatever the size of the archive.
@@ -130,22 +168,23 @@ def read_archives(
     return (
         members.filter(base.startswith(prefix))
         .repartition(tasks, "path", "member")
-        .mapInPandas(_decode, "path string, member string, line_no long, value string")
+        .mapInPandas(partial(_decode, fields=fields), "path string, member string, line_no long, value string")
     )
 
 
 def parse_records(
-    records: DataFrame, names: Sequence[str], keep: Sequence[str] = (), strict: bool = True
+    records: DataFrame, names: Sequence[str], keep: Sequence[str] = (), strict: bool = True, **more: str
 ) -> DataFrame:
     """Split the ``value`` column into text columns by position.
 
     A record with another number of fields fails the job; with ``strict`` off it is kept in a column
-    ``__corrupt``.
+    ``__corrupt``. ``more`` are options of Spark's reader.
     """
     schema = text_schema(names)
     if not strict:
         schema = schema.add(CORRUPT, T.StringType())
     options = {"sep": SEPARATOR, "mode": "FAILFAST" if strict else "PERMISSIVE", "escape": '"'}
+    options |= more
     if not strict:
         options["columnNameOfCorruptRecord"] = CORRUPT
     ddl = ", ".join(f"`{f.name}` string" for f in schema.fields)
@@ -154,7 +193,10 @@ def parse_records(
 
 
 def read_trade_archives(
-    spark: SparkSession, archives: DataFrame, prefix: str, names: Sequence[str]
+    spark: SparkSession, archives: DataFrame, prefix: str, names: Sequence[str], keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Zip archives to one frame of text columns, like :func:`read_trade` for plain files."""
-    return parse_records(read_archives(spark, archives, prefix), names)
+    """Zip archives to one frame of text columns, like :func:`read_trade` for plain files.
+
+    ``keep`` takes columns of :func:`read_archives`, such as the path of the archive, along.
+    """
+    return parse_records(read_archives(spark, archives, prefix, fields=len(sanitize_names(names))), names, keep)

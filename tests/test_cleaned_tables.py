@@ -1,8 +1,10 @@
+from datetime import date
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from aforo.operators import series
 from aforo.operators.classify import ProductClass, classify
 from aforo.operators.relational import distinct_rows, row_digest
 from aforo.plans.cleaned_tables import refresh_cleaned, table_digest, version_of
@@ -79,6 +81,25 @@ def test_a_period_that_left_the_facts_is_removed(spark, table):
     assert sorted(files(target)) == ["period_id=2021-10", "period_id=2021-2"]
 
 
+def test_a_period_that_gives_no_rows_any_more_is_emptied(spark, table):
+    source, target, refresh = table
+    keep = lambda df: df.where("id < 100")
+    refresh(build=keep)
+    replace_periods(facts(spark, ("2021-2", 500)), source)
+    assert refresh(build=keep) == {"2021-2": "build"}
+    assert sorted(files(target)) == ["period_id=2021-1", "period_id=2021-10"]
+    assert refresh(build=keep) == {}
+
+
+def test_series_from_states_equals_the_series_of_all_rows(spark):
+    data = [(date(2021, m, 1), c, float(q), p, str(q % 3)) for m in (1, 2) for c in ("a", "b", None) for q, p in ((1, 2.0), (4, None), (9, 5.5))]
+    df = spark.createDataFrame(data, "fecha_month date, pais_nombre_origen string, q double, p double, part string")
+    whole = series.monthly_by_country(df, "q", ["p"], names=["p"])
+    state = series.monthly_state(df, "q", ["p"], also=["part"], names=["p"])
+    assert state.count() == 8
+    assert rows(series.monthly_from_state(state, names=["p"])) == rows(whole)
+
+
 def test_registered_table_shows_the_present_partitions(spark, table):
     source, target, refresh = table
     refresh()

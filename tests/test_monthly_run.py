@@ -6,8 +6,10 @@ import pytest
 from test_plans import EXPORT_ROW, IMPORT_ROW
 
 from aforo import fixed_values as fx
+from aforo.plans import monthly_run as monthly_run_module
 from aforo.plans.monthly_run import Layout, monthly_run
 from aforo.session import shared_folder
+from aforo.sources.trade import read_trade_archives
 
 
 def text(value):
@@ -52,7 +54,7 @@ def archive(layout, name, imports, exports):
         z.writestr("Exportaciones.txt", lines(EXPORT_ROW, exports))
 
 
-def test_whole_run_twice(spark, layout):
+def test_whole_run_twice(spark, layout, monkeypatch):
     archive(layout, "import_2020.zip", [{"NUMITEM": "old"}], [])
     archive(
         layout,
@@ -84,7 +86,12 @@ def test_whole_run_twice(spark, layout):
     titles = {r.title for r in spark.read.parquet(f"{layout.output}/charts").collect()}
     assert titles == {"Pais: All", "Pais: Canada", "Pais: Peru"}
 
+    known = Path(layout.manifest()).stat().st_mtime_ns
+    monkeypatch.setattr(monthly_run_module, "read_trade_archives", lambda *a, **k: seen.append(a[1].count()) or read(*a, **k))
+    seen, read = [], read_trade_archives
     assert not monthly_run(spark, layout, date(2021, 4, 1)).any_loaded
+    assert seen == [0, 0] and Path(layout.manifest()).stat().st_mtime_ns > known
+    assert spark.read.parquet(layout.rejects("imports")).count() == 1
 
     archive(layout, "import_2021_b.zip", [{"NUMITEM": "4"}], [])
     again = monthly_run(spark, layout, date(2021, 7, 1))
@@ -93,3 +100,35 @@ def test_whole_run_twice(spark, layout):
     months = spark.read.parquet(f"{layout.output}/series").filter("serie = 'canada'")
     got = {str(r.fecha_month): r.cantidad_quintal for r in months.collect()}
     assert got == {"2021-03-01": 400, "2021-04-01": 0, "2021-05-01": 200}
+
+
+def test_archives_are_landed_once(spark, layout, monkeypatch):
+    """Only new and replaced archives are unpacked, and those that share a period with them."""
+    landed = []
+
+    def counting(spark, archives, *args, **kw):
+        landed.append(sorted(Path(r.path).name for r in archives.collect()))
+        return read(spark, archives, *args, **kw)
+
+    read = monthly_run_module.read_trade_archives
+    monkeypatch.setattr(monthly_run_module, "read_trade_archives", counting)
+
+    def run():
+        landed.clear()
+        result = monthly_run(spark, layout, date(2021, 7, 1))
+        return result.loaded["imports"], sorted({name for names in landed for name in names})
+
+    archive(layout, "import_2021_a.zip", [{}, {"NUMITEM": "2", "FECTRA": "99992021"}], [])
+    archive(layout, "import_2021_b.zip", [{"NUMITEM": "3", "FECTRA": "5052021"}], [{}])
+    assert run() == (True, ["import_2021_a.zip", "import_2021_b.zip"])
+    archive(layout, "import_2021_c.zip", [{"NUMITEM": "4"}], [])
+    assert run() == (True, ["import_2021_a.zip", "import_2021_c.zip"])
+    archive(layout, "import_2021_b.zip", [{"NUMITEM": "3", "FECTRA": "5052021"}, {"NUMITEM": "5", "FECTRA": "6062021"}], [{}])
+    Path(f"{layout.archives}/import_2021_a.zip").unlink()
+    assert run() == (True, ["import_2021_b.zip", "import_2021_c.zip"])
+    assert sorted(r.NUMITEM for r in spark.table("run_test.imports_raw").collect()) == ["3", "4", "5"]
+    assert spark.read.parquet(layout.rejects("imports")).isEmpty()
+    manifest = spark.read.parquet(layout.manifest()).where("trade_type = 'imports'")
+    assert sorted((Path(r.path).name, r.period_id, r.num_records) for r in manifest.collect()) == [
+        ("import_2021_b.zip", "2021-5", 1), ("import_2021_b.zip", "2021-6", 1), ("import_2021_c.zip", "2021-3", 1),
+    ]

@@ -17,9 +17,9 @@ from aforo.plans import reports
 from aforo.plans.cleaned_tables import refresh_cleaned, version_of
 from aforo.plans.monthly_load import incremental_load
 from aforo.session import new_path, staged
-from aforo.sinks.tables import append_table
+from aforo.sinks.tables import append_table, replace_periods
 from workload.rates import CONVERTER_SQL, converter
-from workload.registry import query, rounded, table
+from workload.registry import ORACLE, query, rounded, table
 from workload.tables import with_unknown
 
 CLASSES = (
@@ -233,7 +233,7 @@ def cleaned_table(spark, sf):
 )
 def cleaned_incremental(spark, sf):
     """K-05 after I-04: a cleaned table follows its facts, of which one month was missing and one incomplete."""
-    facts = reports.derive_keys(declarations(spark, sf), IMPORTS)
+    facts = staged(reports.derive_keys(declarations(spark, sf), IMPORTS), "facts")
     first, cleaned, countries = new_path(spark, "facts"), new_path(spark, "cleaned"), dims(spark, sf)
     cut = (F.col("period_id") == "1997-5") & (F.col("VIA_TRAN") > 3)
     append_table(facts.filter((F.col("period_id") != "1996-3") & ~cut), first)
@@ -354,6 +354,24 @@ def price_series(spark, sf):
     return series_rows(countries.unionByName(everything))
 
 
+@query("series_incremental", ORACLE["price_series"])
+def series_incremental(spark, sf):
+    """A-03 and A-04 kept up to date: the series after one month was missing and one incomplete at first."""
+    cleaned, sums, converter_table = new_path(spark, "cleaned"), new_path(spark, "sums"), rate_table(spark, sf)
+    raw = staged(raw_table(spark, sf, IMPORTS), "raw")
+    cut = (F.col("period_id") == "1997-5") & (F.col("VIA_TRAN") > 3)
+    version = version_of({"rates": converter_table}, IMPORTS)
+
+    def report(rows):
+        return reports.trade_report(reports.report_source(rows, IMPORTS), converter_table, IMPORTS)
+
+    append_table(raw.filter((F.col("period_id") != "1996-3") & ~cut), cleaned)
+    prices.refresh_series(spark, cleaned, report, sums, version)
+    replace_periods(raw.filter(F.col("period_id").isin("1996-3", "1997-5")), cleaned)
+    countries, everything = prices.refresh_series(spark, cleaned, report, sums, version)
+    return series_rows(countries.unionByName(everything))
+
+
 GRID_SQL = """
   lines AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS fecha_month, n_name AS origen,
       l_quantity AS cant, l_extendedprice AS cif

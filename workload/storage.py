@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from aforo.operators import catalogue, ledger, relational
 from aforo.plans.monthly_load import incremental_load
-from aforo.session import new_path
+from aforo.session import new_path, staged
 from aforo.sinks import deletes
 from aforo.sinks import files as file_sinks
 from aforo.sinks import tables as table_sinks
@@ -39,6 +39,32 @@ def delimited_files(spark, sf):
     return trade.read_trade(spark, path, CUSTOMER_NAMES)
 
 
+@query(
+    "quoted_line_ends",
+    """
+    SELECT CAST(c_custkey AS VARCHAR) AS "C_Custkey", c_name || chr(10) || '"' || c_mktsegment || '";' || chr(10) AS "C_Name",
+      CAST(c_nationkey AS VARCHAR) AS "C_Nationkey", split_bytes
+    FROM customer, (VALUES (999), (65536)) AS s(split_bytes)
+    """,
+)
+def quoted_line_ends(spark, sf):
+    """S-02 with line ends, quotes and separators inside fields, from files cut into small and large splits."""
+    path = new_path(spark, "customers-lines")
+    name = F.concat("c_name", F.lit('\n"'), "c_mktsegment", F.lit('";\n'))
+    rows = table(spark, sf, "customer").select("c_custkey", name.alias("c_name"), "c_nationkey")
+    file_sinks.write_csv(rows, path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    out = []
+    try:
+        for size in (999, 65536):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+            read = trade.read_trade(spark, path, CUSTOMER_NAMES[:3]).withColumn("split_bytes", F.lit(size))
+            out.append(staged(read, "quoted"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    return relational.union_all(*out)
+
+
 @query("positional_header", CUSTOMER_SQL)
 def positional_header(spark, sf):
     landed = customer_columns(spark, sf).select(
