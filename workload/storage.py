@@ -52,7 +52,8 @@ def quoted_line_ends(spark, sf):
     path = new_path(spark, "customers-lines")
     name = F.concat("c_name", F.lit('\n"'), "c_mktsegment", F.lit('";\n'))
     rows = table(spark, sf, "customer").select("c_custkey", name.alias("c_name"), "c_nationkey")
-    file_sinks.write_csv(rows, path)
+    # Spark's writer trims values unless told not to.
+    file_sinks.write_csv(rows, path, ignoreTrailingWhiteSpace="false")
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     out = []
     try:
