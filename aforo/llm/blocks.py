@@ -35,22 +35,28 @@ ARROW = pa.schema(
 )
 
 
+class _Numbers(dict):
+    """Word -> its number, in the order of first appearance."""
+
+    def __missing__(self, word) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 class _Block:
     def __init__(self) -> None:
         self.ids, self.sizes, self.flags, self.sequence, self.bytes = [], [], [], [], 0
-        self.vocabulary: dict[bytes, int] = {}
+        self.vocabulary = _Numbers()
 
     def add(self, key: int | None, words: list, size: int, flag: bool | None = None) -> None:
-        known = self.vocabulary
-        local = [known.setdefault(w, len(known)) for w in words]
         self.ids.append(key)
         self.flags.append(flag)
         self.sizes.append(len(words))
-        self.sequence.append(np.array(local, np.uint32))
+        self.sequence.append(np.fromiter(map(self.vocabulary.__getitem__, words), np.uint32, len(words)))
         self.bytes += size
 
     def row(self, number: int, as_bytes: Callable, mark: Callable | None) -> pa.RecordBatch:
-        words = [as_bytes(w) for w in self.vocabulary]
+        words = list(map(as_bytes, self.vocabulary))
         sequence = np.concatenate(self.sequence)
         counts = np.bincount(sequence, minlength=len(words))
         # Frequent words first, so that their numbers are small.

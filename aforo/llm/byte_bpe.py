@@ -73,12 +73,9 @@ def read_ranks(path: str) -> Ranks:
         return Ranks((base64.b64decode(token), int(rank)) for token, rank in map(bytes.split, lines))
 
 
-def _fine(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word) % FINE
-
-
 def _marks(words: list[bytes]) -> bytes:
-    return np.fromiter(map(_fine, words), np.uint16, len(words)).tobytes()
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    return (hashes % np.uint64(FINE)).astype(np.uint16).tobytes()
 
 
 def _grouped(marks: bytes, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -221,7 +218,7 @@ def encode(
         return compiled.findall(raw.decode("utf-8", "replace"))
 
     ranks = ranks if isinstance(ranks, Ranks) else Ranks(ranks)
-    blocks = packed(df, key, text, split, lambda w: w.encode("utf-8"), _marks, block_bytes=BLOCK_BYTES)
+    blocks = packed(df, key, text, split, str.encode, _marks, block_bytes=BLOCK_BYTES)
     volume = df.agg(F.sum(F.octet_length(F.col(f"`{text}`")).cast("long"))).first()[0] or 0
     buckets = int(min(FINE, max(df.sparkSession.sparkContext.defaultParallelism, volume // bucket_bytes)))
     requests = blocks.select("block", "name", "vocabulary", "marks").mapInArrow(
