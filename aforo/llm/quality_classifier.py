@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aforo.llm.common import CACHE_WORDS, id_and_text, tidied
+from aforo.llm.common import CACHE_WORDS, id_and_text, squeeze, tidied, unsqueeze
 
 # Labelled rows that the model is fitted on: those with the least hash of their key.
 SAMPLE = 12_000
@@ -30,6 +30,8 @@ NONZERO = 4
 HIDDEN = 24
 EPOCHS = 40
 TASKS = 12
+# Neighbour sums leave the tasks in slices of so many tokens.
+SLICE = 256
 AGAIN, LINE_AGAIN = 0, 1
 RESERVED = 2
 PIECE = re.compile(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^\sA-Za-z0-9\x80-\xff]+")
@@ -118,7 +120,7 @@ class Model:
 
 @tidied
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for the whole task: how often each pair of tokens stood side by side, applied to the index vectors."""
+    """How often each pair of tokens of the task stood side by side, applied to the index vectors: a row per slice of tokens."""
     index, total, cache = index_vectors(), np.zeros((BUCKETS, WIDTH), np.float64), _Tokens()
     for batch in batches:
         for value in batch.column(1):
@@ -127,7 +129,17 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             left, right = pairs // BUCKETS, pairs % BUCKETS
             np.add.at(total, left, index[right] * counts[:, None])
             np.add.at(total, right, index[left] * counts[:, None])
-    yield pa.RecordBatch.from_pydict({"sums": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
+    for at in range(0, BUCKETS, SLICE):
+        if (part := total[at : at + SLICE].astype(np.float32)).any():
+            yield pa.RecordBatch.from_pydict({"at": pa.array([at]), "sums": pa.array([squeeze(part.tobytes())], pa.binary())})
+
+
+def _added(slices: pa.Table) -> pa.Table:
+    """The sum of a slice over all tasks."""
+    total = np.zeros(SLICE * WIDTH)
+    for part in slices.column("sums"):
+        total += np.frombuffer(unsqueeze(part.as_py()), np.float32)
+    return pa.table({"at": slices.column("at")[:1], "sums": pa.array([total.tobytes()], pa.binary())})
 
 
 @tidied
@@ -212,8 +224,10 @@ def fit(
     # Copies of a key fall together in the map tasks, so a key on many rows is one text here.
     texts = texts.groupBy("id").agg(F.min("text").alias("text")).repartition(TASKS, "id")
     index, total = index_vectors(), np.zeros((BUCKETS, WIDTH), np.float64)
-    for row in texts.mapInArrow(_neighbours, "sums binary").collect():
-        total += np.frombuffer(row.sums, np.float32).reshape(BUCKETS, WIDTH)
+    # Added up by the tasks, so that the driver takes one matrix whatever their number is.
+    slices = texts.mapInArrow(_neighbours, "at long, sums binary").groupBy("at").applyInArrow(_added, "at long, sums binary")
+    for row in slices.collect():
+        total[row["at"] : row["at"] + SLICE] = np.frombuffer(row.sums).reshape(SLICE, WIDTH)
     norms = np.linalg.norm(total, axis=1, keepdims=True)
     vectors = (index + total / np.maximum(norms, 1)).astype(np.float32)
     truth = {r.id: r.y for r in named.collect()}
