@@ -22,21 +22,34 @@ register_pickle_by_value(sys.modules[__name__])
 RECORD, HEAD, TAIL = 0, 1, 2
 PIECES = "file string, start long, kind int, value string"
 LONGEST_RECORD = 1 << 20
+# Text that one task reads at least, whatever the size of the splits.
+TASK_BYTES = 16 << 20
 
 
-def _lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """(file, start, value): lines with the split they are in. A carriage return stays at the end of its line."""
-    text = spark.read.text(paths if isinstance(paths, str) else list(paths), lineSep="\n")
+def tasks_for(spark: SparkSession, paths: str | Sequence[str]) -> int:
+    """Tasks that the files are worth, from their listing: small splits are many, but share them."""
+    files = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
+    tasks = spark.sparkContext.defaultParallelism
+    size = files.coalesce(tasks).agg(F.sum("length")).first()[0] or 0
+    return max(tasks, size // TASK_BYTES)
+
+
+def _lines(spark: SparkSession, paths: str | Sequence[str], tasks: int) -> DataFrame:
+    """(file, start, value): lines with the split they are in. A carriage return stays at the end of its line.
+
+    A task reads its splits one after the other.
+    """
+    text = spark.read.text(paths if isinstance(paths, str) else list(paths), lineSep="\n").coalesce(tasks)
     return text.select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value"
     )
 
 
-def split_parity(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def split_parity(spark: SparkSession, paths: str | Sequence[str], tasks: int | None = None) -> DataFrame:
     """(file, start, inside, open, odd_lines) per split: whether it begins inside quotes, whether it ends inside, and
     how many of its lines hold an odd number of quotes."""
     odd = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2
-    splits = _lines(spark, paths).groupBy("file", "start").agg(
+    splits = _lines(spark, paths, tasks or tasks_for(spark, paths)).groupBy("file", "start").agg(
         F.bit_xor(odd).alias("odd"), F.sum(odd).cast("long").alias("odd_lines")
     )
     before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
@@ -46,7 +59,7 @@ def split_parity(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
-def _assembled(batches: Iterator[pa.RecordBatch], inside: set[tuple[str, int]], longest: int) -> Iterator[pa.RecordBatch]:
+def _assembled(batches: Iterator[pa.RecordBatch], inside: dict[str, frozenset[int]], longest: int) -> Iterator[pa.RecordBatch]:
     """Records of the splits, and their first and last pieces where a record reaches over the end of one."""
     split, pending, opened, size, first = None, [], False, 0, False
     rows: list[tuple] = []
@@ -68,7 +81,7 @@ def _assembled(batches: Iterator[pa.RecordBatch], inside: set[tuple[str, int]],
             if (file, start) != split:
                 ended()
                 split, pending, size = (file, start), [], 0
-                opened = first = split in inside
+                opened = first = start in inside.get(file, ())
             pending.append(line)
             size += len(line)
             if size > longest:
@@ -86,24 +99,31 @@ def _assembled(batches: Iterator[pa.RecordBatch], inside: set[tuple[str, int]],
 
 
 def read_records(
-    spark: SparkSession, paths: str | Sequence[str], longest: int = LONGEST_RECORD, parity: DataFrame | None = None
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    longest: int = LONGEST_RECORD,
+    parity: DataFrame | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """The records of the files in one column ``value``; empty lines outside quotes are no records.
 
     A quote that is never closed fails the job, as does a record of more than ``longest`` characters.
     """
-    parity = staged(split_parity(spark, paths), "parity") if parity is None else parity
+    tasks = tasks or tasks_for(spark, paths)
+    # What is staged here is read in splits of the same size as the text, so the tasks share these as well.
+    parity = (staged(split_parity(spark, paths, tasks), "parity") if parity is None else parity).coalesce(tasks)
     last = Window.partitionBy("file").orderBy(F.desc("start"))
     broken = parity.withColumn("place", F.row_number().over(last)).where("place = 1 AND open")
     if found := broken.take(1):
         raise ValueError(f"malformed file: a quote is not closed in {found[0]['file']}")
-    # The splits that begin inside quotes: at most as many as Spark's own list of splits on the driver.
-    inside = {(r["file"], r["start"]) for r in parity.where("inside").select("file", "start").collect()}
+    # Where splits begin inside quotes, a number each: at most as many as Spark's own list of splits on the driver.
+    begun = parity.where("inside").groupBy("file").agg(F.collect_list("start").alias("starts"))
+    inside = {r["file"]: frozenset(r["starts"]) for r in begun.collect()}
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _assembled(batches, inside, longest)
 
-    pieces = staged(_lines(spark, paths).mapInArrow(assemble, PIECES), "records")
+    pieces = staged(_lines(spark, paths, tasks).mapInArrow(assemble, PIECES), "records").coalesce(tasks)
     # A tail begins a record that goes on through heads of the next splits. A split without any end of a record is one head.
     order = Window.partitionBy("file").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, 0)
     ends = pieces.where(F.col("kind") != RECORD)

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from aforo.session import staged
 from aforo.sources.files import sanitize_names
-from aforo.sources.quoted import LONGEST_RECORD, read_records, split_parity
+from aforo.sources.quoted import LONGEST_RECORD, read_records, split_parity, tasks_for
 
 # The archive readers travel with the tasks, so executors need no copy of this package.
 register_pickle_by_value(sys.modules[__name__])
@@ -44,12 +44,13 @@ def read_trade(
     ``quoted_line_ends`` says if there are any, None finds out with a scan that counts quotes. Files without any go to
     Spark's own reader.
     """
-    parity = None
+    parity = tasks = None
     if quoted_line_ends is None:
-        parity = staged(split_parity(spark, paths), "parity")
+        tasks = tasks_for(spark, paths)
+        parity = staged(split_parity(spark, paths, tasks), "parity").coalesce(tasks)
         quoted_line_ends = not parity.where("odd_lines > 0").isEmpty()
     if quoted_line_ends:
-        return parse_records(read_records(spark, paths, parity=parity), names, **options)
+        return parse_records(read_records(spark, paths, parity=parity, tasks=tasks), names, **options)
     return (
         spark.read.schema(text_schema(names))
         # Without all columns parsed, a pruned scan would not notice a wrong number of fields.

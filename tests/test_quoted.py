@@ -103,3 +103,23 @@ def test_landed_records_keep_their_archive(spark, tmp_path):
     found = files.trade_paths(spark, str(tmp_path))
     got = trade.read_trade_archives(spark, found, "Import", ["x", "y"], keep=["path"])
     assert got.columns == ["path", "x", "y"] and got.where(F.col("path").endswith("import_2021.zip")).count() == 1
+
+
+def test_small_splits_share_tasks(spark, tmp_path, split, monkeypatch):
+    """Hundreds of splits, as many of them beginning inside quotes, are read by a few tasks, and so is what they leave."""
+    data = [(str(i), f"line\nof {i}\n" * 9, "x") for i in range(400)]
+    (tmp_path / "t.txt").write_text("".join(f"{a};{quoted_field(b)};{c}\n" for a, b, c in data))
+    split(99)
+    assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 400
+    few, made, stage = spark.sparkContext.defaultParallelism, [], quoted.staged
+
+    def staged(df, name):
+        made.append(df.rdd.getNumPartitions())
+        return stage(df, name)
+
+    monkeypatch.setattr(quoted, "staged", staged)
+    monkeypatch.setattr(trade, "staged", staged)
+    got = trade.read_trade(spark, str(tmp_path), ["a", "b", "c"])
+    assert quoted.split_parity(spark, str(tmp_path)).where("inside").count() > 300
+    assert len(made) == 2 and max(made) <= few and got.rdd.getNumPartitions() <= 2 * few
+    assert rows(got) == sorted(data, key=repr)
