@@ -81,12 +81,16 @@ def refresh_cleaned(
     path: str,
     version: str,
     state: str | None = None,
+    spread: bool = True,
 ) -> DataFrame:
     """Bring the cleaned table at ``path`` up to date with the facts at the path ``facts``; returns the changed periods.
 
     ``build`` makes rows from those of some periods, with the period kept and none from two periods together. The periods are calendar months, so their list may
     pass through the driver; the facts' other periods are not read and the table's others not written. The state is
     written last: after a failure the next refresh does the same periods again.
+
+    With ``spread`` off rows are written by the tasks that made them. That suits a ``build`` that looks at one row at a
+    time: its tasks read the facts by period, so each holds few periods and no shuffle need bring them together.
     """
     state = state or f"{path}_state"
     stamps = staged(period_stamps(spark, facts), "stamps")
@@ -96,7 +100,7 @@ def refresh_cleaned(
     if rebuilt:
         rows = spark.read.parquet(facts).where(F.col(PERIOD).cast("string").isin(rebuilt))
         before = _stamps(spark, path)
-        replace_periods(build(rows), path)
+        replace_periods(build(rows), path, spread=spread)
         after = _stamps(spark, path)
         # A period that no longer gives rows was not written, so its old rows are still there.
         listed |= {p: "remove" for p in rebuilt if p in before and before[p] == after.get(p)}

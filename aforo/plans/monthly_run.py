@@ -158,7 +158,7 @@ def refresh_raw(
     facts, path = layout.fact_paths()[trade], layout.cleaned(trade)
     # The columns of the result stand for the rules that made them; a change of either rebuilds every period.
     version = version_of(dims, (SPECS[trade], make(spark.read.parquet(facts), dims).schema.simpleString()))
-    refresh_cleaned(spark, facts, lambda rows: make(rows, dims), path, version)
+    refresh_cleaned(spark, facts, lambda rows: make(rows, dims), path, version, spread=False)
     return register_path(spark, f"{layout.database}.{trade}_raw", path)
 
 

@@ -17,6 +17,8 @@ RUNTIME_SETTINGS = {
     # The JVM never compiles methods above 8000 bytes. Rows of 200 columns with a cleaning rule each
     # make longer ones; below this limit Spark generates one small method per expression instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Tables are written more often than any is read.
+    "spark.sql.parquet.compression.codec": "zstd",
 }
 
 

@@ -42,24 +42,28 @@ def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
 
 
 def append_table(
-    df: DataFrame, path: str, partition: str | None = PERIOD, text_times: bool = False
+    df: DataFrame, path: str, partition: str | None = PERIOD, text_times: bool = False, spread: bool = True
 ) -> None:
-    """Append facts to a Parquet table, partitioned by period."""
+    """Append facts to a Parquet table, partitioned by period.
+
+    ``spread`` off leaves rows in the tasks that have them, for a frame whose periods lie together already.
+    """
     if text_times:
         df = timestamps_to_text(df)
     if partition is None:
         df.write.mode("append").parquet(path)
     else:
-        spread_by(df, partition).write.mode("append").partitionBy(partition).parquet(path)
+        (spread_by(df, partition) if spread else df).write.mode("append").partitionBy(partition).parquet(path)
 
 
-def replace_periods(df: DataFrame, path: str, partition: str = PERIOD) -> None:
+def replace_periods(df: DataFrame, path: str, partition: str = PERIOD, spread: bool = True) -> None:
     """Write the periods of ``df`` in place of what the table holds for them.
 
-    Delete and insert are one job; periods that ``df`` does not contain are not touched.
+    Delete and insert are one job; periods that ``df`` does not contain are not touched. ``spread`` off leaves rows in
+    the tasks that have them, for a frame whose periods lie together already.
     """
     (
-        spread_by(df, partition)
+        (spread_by(df, partition) if spread else df)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)

@@ -136,3 +136,21 @@ def test_prefixes_reach_the_scan(spark, tmp_path):
     plan = out._jdf.queryExecution().executedPlan().toString()
     pushed = plan[plan.index("PushedFilters") :].split("]")[0]
     assert "StringStartsWith(code,1205)" in pushed and "StringContains(name_UP,RAPS)" in pushed
+
+
+def test_rows_made_one_by_one_are_written_where_they_were_read(spark, tmp_path, monkeypatch):
+    """No shuffle stands before such a write, a period still has few files, and the rows are those of a spread write."""
+    source, spread, plain = (str(tmp_path / n) for n in ("facts", "spread", "plain"))
+    frame = spark.range(0, 3000, 1, 8).selectExpr("id", "'x' AS code", "concat('2021-', 1 + id % 6) AS period_id")
+    append_table(frame, source)
+    build = lambda df: df.withColumn("twice", F.col("id") * 2)
+    refresh_cleaned(spark, source, build, spread, "v")
+
+    def refuse(df, *columns):
+        raise AssertionError("spread")
+
+    monkeypatch.setattr("aforo.sinks.tables.spread_by", refuse)
+    assert refresh_cleaned(spark, source, build, plain, "v", spread=False).count() == 6
+    assert refresh_cleaned(spark, source, build, plain, "v", spread=False).count() == 0
+    assert rows(spark.read.parquet(plain)) == rows(spark.read.parquet(spread))
+    assert {p: len(f) for p, f in files(plain).items()} == {p: len(f) for p, f in files(source).items()}

@@ -238,7 +238,10 @@ def cleaned_incremental(spark, sf):
     cut = (F.col("period_id") == "1997-5") & (F.col("VIA_TRAN") > 3)
     append_table(facts.filter((F.col("period_id") != "1996-3") & ~cut), first)
     version = version_of(countries, IMPORTS)
-    refresh = lambda: refresh_cleaned(spark, first, lambda rows: with_unit(rows, countries, IMPORTS), cleaned, version)
+
+    def refresh():
+        return refresh_cleaned(spark, first, lambda rows: with_unit(rows, countries, IMPORTS), cleaned, version, spread=False)
+
     refresh()
     incremental_load(spark, {"imports": first}, {"imports": facts})
     changed = refresh()
