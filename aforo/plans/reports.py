@@ -239,19 +239,25 @@ def trade_view(
 
 
 def report_source(raw: DataFrame, spec: TradeSpec) -> DataFrame:
-    """The part of the trade view that the report looks at: its own product class."""
-    return trade_view(raw, spec, (spec.report_class,))
+    """The part of the trade view that the report looks at: its own product class, and of that only its scope.
 
+    The scope looks at one row, so rows outside it are left out before the distinct, which is a shuffle.
+    """
+    return trade_view(raw.filter(_in_scope(spec)), spec, (spec.report_class,))
 
-def report_scope(view: DataFrame, spec: TradeSpec) -> DataFrame:
-    """The report class without oil, by the report transports, in its unit and above its quantity."""
-    df = view.filter(
-        (F.col("TIPO") == spec.report_class)
-        & F.col(spec.transport).isin(*spec.report_transports)
-        & (F.col("TIPO2") != fx.OIL_TYPE)
+
+def _in_scope(spec: TradeSpec) -> Column:
+    """The conditions of :func:`report_scope` on columns that the cleaned table has, too."""
+    return (
+        F.col(spec.transport).isin(*spec.report_transports)
         & (F.col(spec.unit) == spec.report_unit)
         & (F.col(spec.quantity) > spec.report_min_quantity)
     )
+
+
+def report_scope(view: DataFrame, spec: TradeSpec) -> DataFrame:
+    """The report class without oil, by the report transports, in its unit and above its quantity."""
+    df = view.filter((F.col("TIPO") == spec.report_class) & (F.col("TIPO2") != fx.OIL_TYPE) & _in_scope(spec))
     words = spec.report_excluded_words
     return text.exclude_keywords(df, words) if words else df
 

@@ -230,6 +230,16 @@ def test_report_source_leaves_other_classes_out_before_the_distinct(spark, tmp_p
     assert "TRIGO" not in plan
 
 
+def test_report_source_leaves_rows_out_of_scope_out_before_the_distinct(spark, tmp_path):
+    variants = [{"NUMITEM": "ok"}, {"NUMITEM": "sea", "VIA_TRAN": 2}, {"NUMITEM": "no way", "VIA_TRAN": None},
+                {"NUMITEM": "kilos", "MEDIDA": 10}, {"NUMITEM": "few", "CANT_MERC": "100"}]
+    imports_raw(spark, variants).write.parquet(f"{tmp_path}/raw")
+    raw = spark.read.parquet(f"{tmp_path}/raw")
+    source, whole = reports.report_source(raw, reports.IMPORTS), reports.trade_view(raw, reports.IMPORTS)
+    assert view_keys(source) == [("ok", "canola")] and len(view_keys(whole)) == 5
+    assert rows(reports.report_scope(source, reports.IMPORTS)) == rows(reports.report_scope(whole, reports.IMPORTS))
+
+
 def test_rules_are_fields_of_the_spec(spark):
     spec = replace(
         reports.IMPORTS, oil_word="HARINA", report_unit=10, report_transports=(4,), report_min_quantity=50,

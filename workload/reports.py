@@ -17,7 +17,7 @@ from aforo.plans import reports
 from aforo.plans.cleaned_tables import refresh_cleaned, version_of
 from aforo.plans.monthly_load import incremental_load
 from aforo.session import new_path, staged
-from aforo.sinks.tables import append_table, replace_periods
+from aforo.sinks.tables import append_table, replace_periods, spread_by
 from workload.rates import CONVERTER_SQL, converter
 from workload.registry import ORACLE, query, rounded, table
 from workload.tables import with_unknown
@@ -361,16 +361,18 @@ def price_series(spark, sf):
 def series_incremental(spark, sf):
     """A-03 and A-04 kept up to date: the series after one month was missing and one incomplete at first."""
     cleaned, sums, converter_table = new_path(spark, "cleaned"), new_path(spark, "sums"), rate_table(spark, sf)
-    raw = staged(raw_table(spark, sf, IMPORTS), "raw")
+    # Spread by period before the cleaning, which looks at one row at a time and makes rows twice as wide.
+    facts = spread_by(reports.derive_keys(declarations(spark, sf), IMPORTS), "period_id")
+    raw = with_unit(facts, dims(spark, sf), IMPORTS)
     cut = (F.col("period_id") == "1997-5") & (F.col("VIA_TRAN") > 3)
     version = version_of({"rates": converter_table}, IMPORTS)
 
     def report(rows):
         return reports.trade_report(reports.report_source(rows, IMPORTS), converter_table, IMPORTS)
 
-    append_table(raw.filter((F.col("period_id") != "1996-3") & ~cut), cleaned)
+    append_table(raw.filter((F.col("period_id") != "1996-3") & ~cut), cleaned, spread=False)
     prices.refresh_series(spark, cleaned, report, sums, version)
-    replace_periods(raw.filter(F.col("period_id").isin("1996-3", "1997-5")), cleaned)
+    replace_periods(raw.filter(F.col("period_id").isin("1996-3", "1997-5")), cleaned, spread=False)
     countries, everything = prices.refresh_series(spark, cleaned, report, sums, version)
     return series_rows(countries.unionByName(everything))
 
